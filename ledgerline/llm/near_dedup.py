@@ -13,11 +13,13 @@ Steps: (1) equal multisets are one class by fingerprint, and only one document
 of each goes on; (2) bands of registers give buckets; (3) each bucket's members
 are linked to its first member, and every link is verified by the exact
 multiset overlap of the texts; (4) buckets that still hold several classes are
-searched in blocks for further pairs by register agreement, the best untested
-partner of each other class at a time, verified, until none is left;
+searched in blocks for further pairs by register agreement. A member outside
+the bucket's largest class proposes its four best untested partners of other
+classes, then sixteen, sixty-four and so on; each round's pairs are verified
+and classes joined before the next, until no pair is left to propose;
 (5) components of the verified links are the classes. No pairs within a group
-are written out: step 3 writes one per member, step 4 at most one per member
-and other class.
+are written out: step 3 writes one per member, a round of step 4 a few per
+member that is still outside.
 
 Defined cases: null text is an empty text; texts without words are copies of
 each other; a text of one to four words has its whole word sequence as its only
@@ -41,8 +43,8 @@ from .components import components
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-#: Pairs whose registers agree less than this (five standard deviations under 0.8) aren't verified in step 4.
-AGREEMENT = 0.62
+#: Pairs whose registers agree less aren't verified: five standard deviations under 0.8 in step 3, two in step 4.
+AGREEMENT, AGREEMENT_BLOCKS = 0.62, 0.73
 #: Members of a bucket that one block of step 4 compares with another.
 BLOCK = 512
 U = W.U64
@@ -194,8 +196,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return over_batches(joined.select("a", "b", "left", "right"), test, f"a {kind}, b {kind}")
 
 
-def _blocks(size: int, kind: str) -> tuple:
-    """The search of step 4 in one cell of one bucket, and its schema."""
+def _blocks(kind: str, most: int) -> tuple:
+    """The search of step 4 in one cell of one bucket, for at most `most` partners of each member now, and its schema."""
 
     def search(members: pd.DataFrame, tested: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({c: [] for c in ("bucket", "x", "y", "a", "b")})
@@ -203,26 +205,29 @@ def _blocks(size: int, kind: str) -> tuple:
             return empty
         members = members.sort_values("id", ignore_index=True)
         regs = np.frombuffer(b"".join(members["signature"]), np.uint8).reshape(len(members), -1)
-        ids, cls, side = members["id"].to_numpy(), members["class"].to_numpy(), members["side"].to_numpy()
-        x, y = int(members["x"].iloc[0]), int(members["y"].iloc[0])
+        ids, side, x, y = members["id"].to_numpy(), members["side"].to_numpy(), int(members["x"].iloc[0]), int(members["y"].iloc[0])
+        cls = np.unique(members["class"].to_numpy(), return_inverse=True)[1]
+        largest = int(np.bincount(cls).argmax())
         first = members["first"].iloc[0]
-        seen = {(a, b) for a, b in zip(tested["a"], tested["b"], strict=True)}
+        tried = np.zeros((len(ids), len(ids)), bool)
+        if len(tested):
+            p, q = (np.searchsorted(ids, tested[c].to_numpy()) for c in ("a", "b"))
+            tried[p, q] = tried[q, p] = True
+        if ids[0] == first:
+            tried[0] = tried[:, 0] = True
         found = set()
-        for i in range(len(ids)):
-            other = (cls != cls[i]) & ((side != side[i]) if x != y else True)
-            cand = np.flatnonzero(other)
-            if not len(cand):
-                continue
-            agree = (regs[cand] == regs[i]).mean(1)
-            near = np.flatnonzero(agree >= AGREEMENT)
-            best: dict = {}
-            for k in near[np.argsort(-agree[near], kind="stable")]:
-                j = cand[k]
-                pair = (min(ids[i], ids[j]), max(ids[i], ids[j]))
-                if pair[0] == first or pair in seen or cls[j] in best:
-                    continue
-                best[cls[j]] = pair
-            found.update(best.values())
+        outside = np.flatnonzero(cls != largest)
+        for lo in range(0, len(outside), 64):
+            some = outside[lo : lo + 64]
+            agree = (regs[some][:, None, :] == regs[None, :, :]).mean(2, dtype=np.float32)
+            out = (cls[some][:, None] == cls[None, :]) | tried[some]
+            if x != y:
+                out |= side[some][:, None] == side[None, :]
+            agree[out] = 0
+            best = np.argsort(-agree, 1, kind="stable")[:, :most]
+            good = np.take_along_axis(agree, best, 1) >= AGREEMENT_BLOCKS
+            i, j = ids[np.repeat(some, good.sum(1))], ids[best[good]]
+            found.update(zip(np.minimum(i, j).tolist(), np.maximum(i, j).tolist(), strict=True))
         if not found:
             return empty
         a, b = zip(*sorted(found), strict=True)
@@ -231,6 +236,19 @@ def _blocks(size: int, kind: str) -> tuple:
     return search, f"bucket long, x int, y int, a {kind}, b {kind}"
 
 
+def _texts(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
+    """(id, text) of the documents in the pairs (a, b).
+
+    A table of 2**20 hash values at most, so of a proven size, is broadcast
+    first; it keeps most other texts out of the shuffle while pairs are few.
+    """
+    asked = saved(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "asked")
+    bit = F.pmod(F.xxhash64("id"), F.lit(1 << 20)).cast("int")
+    bits = F.broadcast(asked.select(bit.alias("bit")).distinct())
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn("bit", bit).join(bits, "bit", "left_semi").drop("bit")
+    return saved(texts.join(asked, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "texts")
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(key, class_id): documents whose texts a chain of similar texts connects share the smallest key among them."""
     kind = docs.schema[key].dataType.simpleString()
@@ -249,10 +267,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
         return pa.record_batch({"a": batch.column(0), "b": batch.column(1)}).filter(pa.array((p == q).mean(1) >= AGREEMENT))
 
     pairs = saved(over_batches(likely.select("a", "b", "sa", "sb"), agreeing, f"a {kind}, b {kind}"), "pairs")
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = saved(texts.join(asked, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "texts")
+    texts = _texts(docs, key, text, pairs)
     links = saved(_verified(pairs, texts, similarity), "verified")
+    dropped(texts)
+    most = 4
     tested = None
     while True:
         roots = components(links)
@@ -262,19 +280,19 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
         n = F.ceil(F.col("n") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("id"), n).cast("int")
         of = of.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "id", "first", "class", "signature")
-        search, schema = _blocks(BLOCK, kind)
+        search, schema = _blocks(kind, most)
         spark = docs.sparkSession
         done = tested if tested is not None else spark.createDataFrame([], schema)
         cell = ["bucket", "x", "y"]
         more = saved(of.groupBy(*cell).cogroup(done.groupBy(*cell)).applyInPandas(search, schema), "more")
         if more.limit(1).count() == 0:
             break
-        pairs = more.select("a", "b").distinct()
-        need = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        extra = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(need, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-        links = saved(links.union(_verified(pairs, saved(extra, "texts"), similarity)), "verified")
+        pairs = saved(more.select("a", "b").distinct(), "pairs")
+        texts = _texts(docs, key, text, pairs)
+        links = saved(links.union(_verified(pairs, texts, similarity)), "verified")
+        dropped(texts)
         tested = more if tested is None else saved(tested.union(more), "tested")
-    dropped(texts)
+        most *= 4
     rooted = reps.select("id", *same).join(roots.withColumnRenamed("node", "id"), "id", "left").select(*same, F.coalesce("root", "id").alias("class_id"))
     return sig.select(key, *same).join(rooted, same).select(key, "class_id")
 
