@@ -6,20 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat_format import op9_chat_formatting
 from .decontamination import op8_benchmark_decontamination
+from .license_scan import op2_license_scans
+from .lm_scoring import op10_lm_scoring
 from .near_dedup import op6_minhash_near_dedup
 from .packing import op7_best_fit_packing
+from .quality_model import op3_quality_classifier
 from .quality_rules import op1_quality_rules
 from .secret_scan import op5_secret_scans
+from .toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_license_scans,
+        op3_quality_classifier,
+        op4_toxicity,
         op5_secret_scans,
         op6_minhash_near_dedup,
         op7_best_fit_packing,
         op8_benchmark_decontamination,
+        op9_chat_formatting,
+        op10_lm_scoring,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
