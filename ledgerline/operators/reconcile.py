@@ -29,7 +29,7 @@ def split_sources(sources: DataFrame, children: DataFrame, parents: DataFrame) -
 
 def deducted(sources: DataFrame, duplicates: DataFrame) -> DataFrame:
     """Sources without wholly redundant ones; partly redundant ones lose their redundant bytes. duplicates: (source, redundant), null = all."""
-    d = sources.join(duplicates, "source", "left").withColumn("redundant", F.when(F.col("redundant").isNull() & F.col("listed").isNotNull(), F.col("unc")).otherwise(F.least("redundant", "unc")))
+    d = sources.join(duplicates, "source", "left").withColumn("redundant", F.when(F.col("redundant").isNull() & F.col("listed").isNotNull(), F.col("unc")).when(F.col("redundant").isNotNull(), F.least("redundant", "unc")))
     return d.where("redundant is null or redundant < unc").select("source", "blobs", "comp", (F.col("unc") - F.coalesce("redundant", F.lit(0))).alias("unc"), F.coalesce("redundant", F.lit(0)).alias("deduplicated"))
 
 
