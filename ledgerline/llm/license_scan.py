@@ -1,9 +1,11 @@
 """Licence notices found by patience alignment with templates.
 
 Texts and templates are runs of letters and digits, A-Z lowered. A region of a
-text can hold a notice only if enough of its words are the template's: windows
-of one and a half template lengths with at least the covering share of template
-words are found with running sums, which loses no match. In each, anchors are
+text can hold a notice only if enough of its words are the template's. Of the
+covering share of a template's words, at least those beyond its common words
+(COMMON) must be others, so windows of one and a half template lengths with that
+many of the template's other words are the candidates, which loses no match. In
+each, anchors are
 the words unique to both sides; the longest increasing subsequence of their
 places is kept; gaps between kept anchors are aligned in the same way, equal
 ends first. The coverage is the aligned share of the template's words.
@@ -40,6 +42,9 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
 )
 
+#: Words that mark no template, for they fill any English text.
+COMMON = "a all an and any are as at be been by can copy conditions for from has have if in is it may must no not of on one or other please that the these this those to under use was will with you your".split()
+
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
     """Aligned places (i, j) of equal words, increasing in both."""
@@ -95,6 +100,12 @@ class Scanner:
         tokens = Tokens(pa.array([t for _, t in templates]))
         self.words = [tokens.plain[tokens.first[k] : tokens.first[k + 1]].tolist() for k in range(len(templates))]
         self.sets = [np.unique(np.array(w, W.U64)) for w in self.words]
+        common = Tokens(pa.array([" ".join(COMMON)])).plain
+        others = [np.array([w for w in words if w not in set(common.tolist())], W.U64) for words in self.words]
+        need = [int(np.ceil(coverage * len(w))) for w in self.words]
+        self.least = [n - (len(w) - len(o)) for n, w, o in zip(need, self.words, others, strict=True)]
+        self.sets = [np.unique(o) if k > 0 else s for k, o, s in zip(self.least, others, self.sets, strict=True)]
+        self.least = [k if k > 0 else n for k, n in zip(self.least, need, strict=True)]
         self.all = np.unique(np.concatenate(self.sets))
 
     def scan(self, column: pa.Array) -> list[tuple[int, str, float, int, int]]:
@@ -106,7 +117,7 @@ class Scanner:
         for k, words in enumerate(self.words):
             mine = _among(self.sets[k], t.plain[hits])
             at, of = hits[mine], doc[mine]
-            need = int(np.ceil(self.coverage * len(words)))
+            need = self.least[k]
             span = len(words) + (len(words) + 1) // 2
             if len(at) < need:
                 continue
@@ -114,16 +125,19 @@ class Scanner:
             done = -1
             for p in near.tolist():
                 d = int(of[p])
-                lo, hi = int(at[p]), int(min(at[p] + span, t.first[d + 1]))
+                lo = int(at[p])
                 if lo <= done:
                     continue
+                # a notice may begin with common words before its first other word
                 ends = near[(near >= p) & (at[near] < lo + span)]
-                best = max((self._aligned(t.plain, int(at[q]), min(int(at[q]) + span, int(t.first[d + 1])), words) for q in ends.tolist()), key=lambda x: (x[0], -x[1]))
+                low, high = int(t.first[d]), int(t.first[d + 1])
+                tries = {(max(low, int(at[q]) - len(words) // 2), min(int(at[q]) + span, high)) for q in ends.tolist()}
+                best = max((self._aligned(t.plain, a, b, words) for a, b in sorted(tries)), key=lambda x: (x[0], -x[1]))
                 if best[0] >= self.coverage:
                     base = int(t.first[d])
                     out.append((d, self.names[k], best[0], best[1] - base, best[2] - base))
                     done = best[2] - 1
-                elif hi > lo:
+                else:
                     done = lo
         return sorted(out)
 

@@ -30,7 +30,7 @@ from . import words as W
 from .common import crc32_mod, over_batches, table
 
 BUCKETS, DIMENSIONS, WINDOW = 1 << 17, 8, 12
-TRAIN_DOCS, TRAIN_BYTES, CALIBRATE_DOCS = 2500, 2400, 1200
+TRAIN_DOCS, TRAIN_BYTES, CALIBRATE_DOCS = 2000, 2000, 800
 EPOCHS, RATE, BATCH = 8, 0.5, 64
 THRESHOLD = 0.3
 _LETTER = np.ones(256, bool)
@@ -106,27 +106,31 @@ class Model:
 
 
 def _segments(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows for training: (bucket, window of each, document of each window)."""
+    """Half-overlapping windows for training: (buckets, where each window's begin, document of each window)."""
     b, offsets = W.buffers(column)
-    bucket, word, first = features(b, offsets)
-    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    half = WINDOW // 2
-    place = (np.arange(first[-1]) - first[doc]) // half if len(doc) else np.zeros(0, np.int64)
-    last = np.maximum((np.diff(first) + half - 1) // half - 1, 1)
-    base = np.concatenate([[0], np.cumsum(last)])
-    one = base[doc] + np.maximum(place - 1, 0) if len(doc) else place
-    two = base[doc] + np.minimum(place, last[doc] - 1) if len(doc) else place
-    both_b = np.concatenate([bucket, bucket[one[word] != two[word]]])
-    both_w = np.concatenate([one[word], two[word][one[word] != two[word]]])
-    order = np.argsort(both_w, kind="stable")
-    return both_b[order].astype(np.int32), both_w[order], np.repeat(np.arange(len(first) - 1), last)
+    buckets, sizes, docs = [], [], []
+    for i, j in W.pieces(offsets, 1 << 18):
+        lo = int(offsets[i])
+        bucket, word, first = features(b[lo : int(offsets[j])], offsets[i : j + 1] - lo)
+        doc = np.repeat(np.arange(j - i), np.diff(first))
+        half = WINDOW // 2
+        place = (np.arange(first[-1]) - first[doc]) // half if len(doc) else np.zeros(0, np.int64)
+        n = np.maximum((np.diff(first) + half - 1) // half - 1, 1)
+        base = np.concatenate([[0], np.cumsum(n)])
+        one, two = base[doc] + np.maximum(place - 1, 0), base[doc] + np.minimum(place, n[doc] - 1)
+        one, two = one[word], two[word]
+        window = np.concatenate([one, two[one != two]])
+        order = np.argsort(window, kind="stable")
+        buckets.append(np.concatenate([bucket, bucket[one != two]])[order].astype(np.int32))
+        sizes.append(np.bincount(window, minlength=base[-1]))
+        docs.append(np.repeat(np.arange(i, j), n))
+    return np.concatenate(buckets), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), np.concatenate(docs)
 
 
 def train(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
     """Vectors and softmax, by Adagrad steps over batches of documents."""
     rng = np.random.default_rng(seed)
-    bucket, window, doc = _segments(texts)
-    at = np.searchsorted(window, np.arange(len(doc) + 1))
+    bucket, at, doc = _segments(texts)
     of = np.searchsorted(doc, np.arange(len(toxic) + 1))
     size = np.maximum(np.diff(at), 1)
     e = rng.normal(0, 0.05, (BUCKETS, DIMENSIONS)).astype(np.float32)
@@ -183,20 +187,21 @@ def fitted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     for label in (0, 1):
         some = marks.where(F.col("toxic") == label).orderBy(F.xxhash64(key), key).limit(2 * (TRAIN_DOCS + CALIBRATE_DOCS))
         chosen = some if chosen is None else chosen.union(some)
-    texts = docs.join(F.broadcast(chosen), key).where(F.octet_length(text) <= 16 * TRAIN_BYTES)
+    texts = docs.join(F.broadcast(chosen), key).where(F.octet_length(text) <= 8 * TRAIN_BYTES)
     got = texts.select(F.col(key).alias("k"), F.xxhash64(key).alias("h"), F.col(text).alias("t"), "toxic")
     fit, rest = [], []
     for label in (0, 1):
-        short = got.where((F.col("toxic") == label) & (F.octet_length("t") <= TRAIN_BYTES)).orderBy("h", "k").limit(TRAIN_DOCS)
+        apart = F.pmod(F.col("h"), F.lit(5)) == 0  # a fifth is for calibration
+        short = got.where((F.col("toxic") == label) & ~apart & (F.octet_length("t") <= TRAIN_BYTES)).orderBy("h", "k").limit(TRAIN_DOCS)
         fit.append(short.toArrow())
-        rest.append(got.where(F.col("toxic") == label).join(F.broadcast(short.select("k")), "k", "left_anti").orderBy("h", "k").limit(CALIBRATE_DOCS).toArrow())
+        rest.append(got.where((F.col("toxic") == label) & apart).orderBy("h", "k").limit(CALIBRATE_DOCS).toArrow())
     if not fit[0].num_rows or not fit[1].num_rows:
         return None
     both = pa.concat_tables(fit).combine_chunks()
     model = train(both.column("t"), both.column("toxic").to_numpy())
     held = pa.concat_tables(rest).combine_chunks()
     y = held.column("toxic").to_numpy()
-    if y.min(initial=1) == y.max(initial=0):
+    if len(np.unique(y)) < 2:
         held, y = both, both.column("toxic").to_numpy()
     share = np.array([0.9 / max((y == 0).sum(), 1), 0.1 / max((y == 1).sum(), 1)]) * len(y)  # as rare as toxic texts are
     return calibrate(model, held.column("t"), y, share[y])
