@@ -53,7 +53,7 @@ def human_bytes(n: Column) -> Column:
     out = F.format_string("%d B", n.cast("long"))
     for unit, size in (("KB", 1e3), ("MB", 1e6), ("GB", 1e9), ("TB", 1e12)):
         out = F.when(n >= size, F.format_string(f"%.2f {unit}", n / size)).otherwise(out)
-    return F.coalesce(out, F.lit("—"))
+    return F.when(n.isNull(), "—").otherwise(out)
 
 
 def gigabytes(n: Column) -> Column:

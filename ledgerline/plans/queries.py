@@ -401,7 +401,7 @@ def version_distinct(spark, sf_dir):
     return diff.distinct_versions(v).select("key", "doc_id", "etag")
 
 
-@query("""WITH j AS (SELECT CAST(epoch(ts) AS BIGINT) AS end_s, 60 AS seconds, event_id % 10 AS files FROM events), n AS (SELECT CAST(max(end_s) AS BIGINT) AS now FROM j), r AS (SELECT j.*, now FROM j, n WHERE end_s >= now - 86400) SELECT CAST(sum(files) AS BIGINT) AS files, CAST(max(now) - min(end_s - seconds) AS BIGINT) AS span, CAST(sum(files) AS DOUBLE) / (max(now) - min(end_s - seconds)) AS per_second FROM r""")
+@query("""WITH j AS (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS end_s, 60 AS seconds, event_id % 10 AS files FROM events), n AS (SELECT CAST(max(end_s) AS BIGINT) AS now FROM j), r AS (SELECT j.*, now FROM j, n WHERE end_s >= now - 86400) SELECT CAST(sum(files) AS BIGINT) AS files, CAST(max(now) - min(end_s - seconds) AS BIGINT) AS span, CAST(sum(files) AS DOUBLE) / (max(now) - min(end_s - seconds)) AS per_second FROM r""")
 def throughput_window(spark, sf_dir):
     """Rate over a trailing window."""
     j = t(spark, sf_dir, "events").select(F.unix_timestamp(F.col("ts").cast("timestamp")).alias("end_s"), F.lit(60).alias("seconds"), (F.col("event_id") % 10).alias("files"))
