@@ -217,8 +217,8 @@ def test_perplexity_filter(spark, docs, empty):
 
 def test_toxicity(spark, empty):
     bad = ["idiot", "moron", "scum"]
-    clean = [prose(40) for _ in range(150)]
-    toxic = [" ".join([*prose(20).split(), bad[i % 3], *prose(20).split()]) for i in range(60)]
+    clean = [prose(40) for _ in range(500)]
+    toxic = [" ".join([*prose(20).split(), bad[i % 3], *prose(20).split()]) for i in range(250)]
     rows = [(i, t, 0) for i, t in enumerate(clean)] + [(1000 + i, t, 1) for i, t in enumerate(toxic)]
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.fitted(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
