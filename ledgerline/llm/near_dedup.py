@@ -274,9 +274,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     tested = None
     while True:
         roots = components(links)
-        of = held.where("n > 2").join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "first", "n", F.coalesce("root", "id").alias("class"))
+        of = held.where("n > 2").drop("class").join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "first", "n", F.coalesce("root", "id").alias("class"))
+        of = saved(of, "members")
         mixed = of.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-        of = of.join(mixed, "bucket", "left_semi").join(signs, "id")
+        held = saved(of.join(mixed, "bucket", "left_semi").select("bucket", "id", "first", "n", "class"), "buckets")
+        of = held.join(signs, "id")
         n = F.ceil(F.col("n") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("id"), n).cast("int")
         of = of.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "id", "first", "class", "signature")

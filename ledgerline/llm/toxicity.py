@@ -187,7 +187,7 @@ def fitted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     for label in (0, 1):
         some = marks.where(F.col("toxic") == label).orderBy(F.xxhash64(key), key).limit(2 * (TRAIN_DOCS + CALIBRATE_DOCS))
         chosen = some if chosen is None else chosen.union(some)
-    texts = docs.join(F.broadcast(chosen), key).where(F.octet_length(text) <= 8 * TRAIN_BYTES)
+    texts = docs.select(key, text).join(F.broadcast(chosen), key).where(F.octet_length(text) <= 8 * TRAIN_BYTES)
     got = texts.select(F.col(key).alias("k"), F.xxhash64(key).alias("h"), F.col(text).alias("t"), "toxic")
     fit, rest = [], []
     for label in (0, 1):

@@ -80,6 +80,16 @@ def test_near_dedup(docs, empty):
     assert kept.columns == docs.columns
 
 
+def test_components(spark, monkeypatch):
+    from ledgerline.llm import components as C
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (103, 101), (103, 102)], "a long, b long")
+    want = {i: 1 for i in range(2, 41)} | {i: 100 for i in (101, 102, 103)}
+    assert {r["node"]: r["root"] for r in C.components(edges).collect()} == want
+    monkeypatch.setattr(C, "FEW", 0)
+    assert {r["node"]: r["root"] for r in C.components(edges).collect()} == want
+
+
 def test_bag_minhash_is_unbiased():
     doc, shingle, count = [], [], []
     for d, weights in enumerate(({1: 5, 2: 1, 3: 2}, {1: 3, 2: 4, 4: 2})):
