@@ -208,7 +208,7 @@ def _blocks(kind: str, most: int) -> tuple:
         ids, side, x, y = members["id"].to_numpy(), members["side"].to_numpy(), int(members["x"].iloc[0]), int(members["y"].iloc[0])
         cls = np.unique(members["class"].to_numpy(), return_inverse=True)[1]
         largest = int(np.bincount(cls).argmax())
-        first = members["first"].iloc[0]
+        first, band = members["first"].iloc[0], int(members["band"].iloc[0])
         tried = np.zeros((len(ids), len(ids)), bool)
         if len(tested):
             p, q = (np.searchsorted(ids, tested[c].to_numpy()) for c in ("a", "b"))
@@ -219,8 +219,11 @@ def _blocks(kind: str, most: int) -> tuple:
         outside = np.flatnonzero(cls != largest)
         for lo in range(0, len(outside), 64):
             some = outside[lo : lo + 64]
-            agree = (regs[some][:, None, :] == regs[None, :, :]).mean(2, dtype=np.float32)
-            out = (cls[some][:, None] == cls[None, :]) | tried[some]
+            same = regs[some][:, None, :] == regs[None, :, :]
+            agree = same.mean(2, dtype=np.float32)
+            # a pair that meets in an earlier band is that bucket's to propose
+            earlier = same[:, :, : band * ROWS].reshape(len(some), len(ids), band, ROWS).all(3).any(2)
+            out = earlier | (cls[some][:, None] == cls[None, :]) | tried[some]
             if x != y:
                 out |= side[some][:, None] == side[None, :]
             agree[out] = 0
@@ -255,7 +258,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     sig = saved(signed(docs.where(F.col(key).isNotNull()), key, text), "signatures")
     same = ["weight", "fp1", "fp2"]
     reps = saved(sig.groupBy(*same).agg(F.min(key).alias("id"), F.min_by("bands", key).alias("bands"), F.min_by("signature", key).alias("signature")), "representatives")
-    member = reps.where("weight > 0").select("id", F.explode("bands").alias("bucket"))
+    member = reps.where("weight > 0").select("id", F.posexplode("bands").alias("band", "bucket"))
     first = member.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
     held = saved(member.join(first, "bucket"), "buckets")
     star = held.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
@@ -274,14 +277,14 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     tested = None
     while True:
         roots = components(links)
-        of = held.where("n > 2").drop("class").join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "first", "n", F.coalesce("root", "id").alias("class"))
+        of = held.where("n > 2").drop("class").join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "band", "id", "first", "n", F.coalesce("root", "id").alias("class"))
         of = saved(of, "members")
         mixed = of.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-        held = saved(of.join(mixed, "bucket", "left_semi").select("bucket", "id", "first", "n", "class"), "buckets")
+        held = saved(of.join(mixed, "bucket", "left_semi").select("bucket", "band", "id", "first", "n", "class"), "buckets")
         of = held.join(signs, "id")
         n = F.ceil(F.col("n") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("id"), n).cast("int")
-        of = of.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "id", "first", "class", "signature")
+        of = of.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "band", "id", "first", "class", "signature")
         search, schema = _blocks(kind, most)
         spark = docs.sparkSession
         done = tested if tested is not None else spark.createDataFrame([], schema)
