@@ -16,7 +16,8 @@ multiset overlap of the texts; (4) buckets that still hold several classes are
 searched in blocks for further pairs by register agreement. A member outside
 the bucket's largest class proposes its four best untested partners of other
 classes, then sixteen, sixty-four and so on; each round's pairs are verified
-and classes joined before the next, until no pair is left to propose;
+and classes joined before the next. Only buckets in which a member had more
+partners than it could propose go on to the next round, until none is left;
 (5) components of the verified links are the classes. No pairs within a group
 are written out: step 3 writes one per member, a round of step 4 a few per
 member that is still outside.
@@ -200,7 +201,7 @@ def _blocks(kind: str, most: int) -> tuple:
     """The search of step 4 in one cell of one bucket, for at most `most` partners of each member now, and its schema."""
 
     def search(members: pd.DataFrame, tested: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({c: [] for c in ("bucket", "x", "y", "a", "b")})
+        empty = pd.DataFrame({c: [] for c in ("bucket", "x", "y", "a", "b", "cut")})
         if len(members) < 2 or members["class"].nunique() < 2:
             return empty
         members = members.sort_values("id", ignore_index=True)
@@ -215,7 +216,7 @@ def _blocks(kind: str, most: int) -> tuple:
             tried[p, q] = tried[q, p] = True
         if ids[0] == first:
             tried[0] = tried[:, 0] = True
-        found = set()
+        found, cut = set(), False
         outside = np.flatnonzero(cls != largest)
         for lo in range(0, len(outside), 64):
             some = outside[lo : lo + 64]
@@ -227,6 +228,7 @@ def _blocks(kind: str, most: int) -> tuple:
             if x != y:
                 out |= side[some][:, None] == side[None, :]
             agree[out] = 0
+            cut |= bool(((agree >= AGREEMENT_BLOCKS).sum(1) > most).any())
             best = np.argsort(-agree, 1, kind="stable")[:, :most]
             good = np.take_along_axis(agree, best, 1) >= AGREEMENT_BLOCKS
             i, j = ids[np.repeat(some, good.sum(1))], ids[best[good]]
@@ -234,9 +236,9 @@ def _blocks(kind: str, most: int) -> tuple:
         if not found:
             return empty
         a, b = zip(*sorted(found), strict=True)
-        return pd.DataFrame({"bucket": members["bucket"].iloc[0], "x": x, "y": y, "a": a, "b": b})
+        return pd.DataFrame({"bucket": members["bucket"].iloc[0], "x": x, "y": y, "a": a, "b": b, "cut": cut})
 
-    return search, f"bucket long, x int, y int, a {kind}, b {kind}"
+    return search, f"bucket long, x int, y int, a {kind}, b {kind}, cut boolean"
 
 
 def _texts(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
@@ -275,8 +277,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     dropped(texts)
     most = 4
     tested = None
+    roots = components(links)
     while True:
-        roots = components(links)
         of = held.where("n > 2").drop("class").join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "band", "id", "first", "n", F.coalesce("root", "id").alias("class"))
         of = saved(of, "members")
         mixed = of.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
@@ -296,6 +298,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
         texts = _texts(docs, key, text, pairs)
         links = saved(links.union(_verified(pairs, texts, similarity)), "verified")
         dropped(texts)
+        roots = components(links)
+        again = saved(more.where("cut").select("bucket").distinct(), "again")
+        if again.limit(1).count() == 0:
+            break
+        held = held.join(again, "bucket", "left_semi")
         tested = more if tested is None else saved(tested.union(more), "tested")
         most *= 4
     rooted = reps.select("id", *same).join(roots.withColumnRenamed("node", "id"), "id", "left").select(*same, F.coalesce("root", "id").alias("class_id"))
