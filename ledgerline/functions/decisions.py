@@ -115,17 +115,40 @@ def crm_outcome(status: Column, code: Column, required: Column) -> Column:
 
 
 def body_error(body: Column) -> Column:
-    """The error code of a JSON body, whatever its envelope; empty without one."""
-    return F.coalesce(*(F.get_json_object(body, p) for p in ("$.code", "$.error.code", "$.errorCode", "$.data[0].code", "$.response.error.code")), F.lit(""))
+    """The error code of a JSON body: that of its first data row, else code or error where they are texts; empty without one."""
+    one = F.when(F.startswith(F.ltrim(body), F.lit("[")), F.get_json_object(body, "$[0]")).otherwise(body)
+    texts = F.from_json(one, "code variant, error variant")
+    plain = [F.when(F.schema_of_variant(texts[k]) == "STRING", F.nullif(F.get_json_object(one, f"$.{k}"), F.lit(""))) for k in ("code", "error")]
+    return F.coalesce(F.nullif(F.get_json_object(one, "$.data[0].code"), F.lit("")), *plain, F.lit(""))
 
 
 def body_failed(body: Column) -> Column:
-    state = F.lower(F.coalesce(F.get_json_object(body, "$.status"), F.get_json_object(body, "$.result"), F.lit("")))
-    return state.isin("failure", "error") | F.get_json_object(body, "$.errorCode").isNotNull()
+    """The code of a body whose status or result tells of a failure, or that names an error code; else empty."""
+    at = {k: F.nullif(F.get_json_object(body, f"$.{k}"), F.lit("")) for k in ("status", "result", "errorCode", "code")}
+    bad = [(F.lower(at[k]).isin("failure", "error"), F.coalesce(at["errorCode"], at["code"], at[k])) for k in ("status", "result")]
+    return decide(F.coalesce(at["errorCode"], F.lit("")), *bad)
+
+
+def page_cap(code: Column) -> Column:
+    return F.coalesce(code == "PAGINATION_LIMIT_EXCEEDED", F.lit(False))
+
+
+def pullable(url: Column, kind: Column) -> Column:
+    return first_of(url).isNotNull() & first_of(kind).isNotNull()
+
+
+def listed(name: Column, allowed: list[str] | None) -> Column:
+    """Whether an allow-list takes a name; an empty list takes all, None none."""
+    return F.lit(False) if allowed is None else name.isin(allowed) if allowed else F.lit(True)
+
+
+def gate(status: Column) -> Column:
+    """How a probed endpoint stands: open, behind metered billing, without approval, or unexpected."""
+    return decide("unexpected", (status == 200, "open"), (status == 402, "metered-model-required"), (status == 403, "protected-api-approval-missing"))
 
 
 def mapping_suspect(expected: Column, present: Column, overlap: Column) -> Column:
-    return (expected > 0) & (present >= 50) & (overlap < F.greatest(F.lit(5.0), 0.02 * F.least(expected, present)))
+    return (expected > 0) & (present >= 50) & (overlap < F.greatest(F.lit(5.0), 0.02 * present))
 
 
 def gate_breach(missing: Column, expected: Column) -> Column:
@@ -141,8 +164,15 @@ def verification_stale(ledger_at: Column, verified_at: Column) -> Column:
 
 
 def wiki_absent(stderr: Column) -> Column:
-    return F.rlike(F.lower(stderr), F.lit("repository not found|could not read from remote|not found"))
+    return F.rlike(F.lower(stderr), F.lit("not found|access denied|does not exist"))
 
 
 def export_root(names: Column) -> Column:
     return F.array_contains(names, "channels.json") & F.array_contains(names, "users.json")
+
+
+def detail_valid(detail: Column) -> Column:
+    """Whether measured detail is a JSON object of service -> [bytes, files], both whole numbers."""
+    pairs = F.from_json(detail, "map<string,array<bigint>>")
+    shape = F.forall(F.map_values(pairs), lambda v: (F.size(v) == 2) & F.forall(v, lambda x: x.isNotNull()))
+    return F.coalesce(F.startswith(F.ltrim(detail), F.lit("{")) & shape & ~F.rlike(detail, F.lit(r"[\[,]\s*(true|false)")), F.lit(False))

@@ -156,8 +156,8 @@ def safe_uuid(c: Column) -> Column:
 
 
 def safe_filename(c: Column, limit: int = 150) -> Column:
-    clean = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r'[\\/:*?"<>|\x00-\x1f]', " "), r"\s+", " "))
-    return F.coalesce(F.nullif(F.substring(clean, 1, limit), F.lit("")), F.lit("video"))
+    clean = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r'[\\/:*?"<>|\x00-\x1f]+', " "), r"\s+", " "))
+    return F.coalesce(F.nullif(F.substring(F.regexp_replace(clean, r"^\.+|\.+$", ""), 1, limit), F.lit("")), F.lit("video"))
 
 
 #: Extensions by content type.
@@ -191,3 +191,45 @@ def chunked(fields: Column, size: int = 50) -> Column:
     step = size - 1
     starts = F.sequence(F.lit(1), F.greatest(F.size(rest), F.lit(1)), F.lit(step))
     return F.transform(starts, lambda s: F.concat(F.array(F.lit("id")), F.slice(rest, s, F.lit(step))))
+
+
+def export_tag(kind: Column, place: Column) -> Column:
+    """An export's tag, <kind>:<place>."""
+    return F.concat_ws(":", kind, place)
+
+
+def export_of_tag(tag: Column) -> tuple[Column, Column]:
+    """Kind and place of a tag; a bare .zip name is an archive, any other bare text a tree."""
+    tagged = F.rlike(tag, F.lit("^(zip|tree):"))
+    kind = F.when(tagged, F.substring_index(tag, ":", 1)).when(F.endswith(F.lower(tag), F.lit(".zip")), "zip").when(tag != "", "tree").otherwise("")
+    return kind, F.when(tagged, F.regexp_replace(tag, "^(zip|tree):", "")).otherwise(tag)
+
+
+#: Extensions by recording type.
+RECORDINGS = {"MP4": "mp4", "M4A": "m4a", "TRANSCRIPT": "vtt", "CHAT": "txt", "CC": "vtt", "CSV": "csv", "TIMELINE": "json", "SUMMARY": "json"}
+
+
+def recording_path(prefix: str, meeting: Column, start: Column, kind: Column, ext: Column, file_id: Column) -> Column:
+    """<prefix>/meetings/<meeting>/<start>_<TYPE>_<first 12 of the id>.<ext>."""
+    up = F.upper(F.coalesce(first_of(kind), F.lit("FILE")))
+    known = F.try_element_at(F.create_map(*(F.lit(x) for kv in RECORDINGS.items() for x in kv)), up)
+    name = F.concat_ws("_", F.regexp_replace(F.coalesce(start, F.lit("")), "[:-]", ""), up, F.substring(F.coalesce(file_id, F.lit("")), 1, 12))
+    return F.concat(F.lit(f"{prefix}/meetings/"), safe_uuid(meeting), F.lit("/"), name, F.lit("."), F.coalesce(known, first_of(F.lower(ext)), F.lit("bin")))
+
+
+def unit_label(kind: Column, owner: Column, key: Column, name: Column) -> Column:
+    """meta, library/<owner> or files/<owner>/<key>__<name>: the key comes before the name, which may change."""
+    return F.when(kind == "meta", "meta").when(kind == "library", F.concat(F.lit("library/"), safe_component(owner))).otherwise(F.concat(F.lit("files/"), safe_component(owner), F.lit("/"), key, F.lit("__"), safe_component(name)))
+
+
+def iso(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def iso_basic(ts: Column) -> Column:
+    return F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'")
+
+
+def parse_iso(c: Column) -> Column:
+    """Strict; other forms are null."""
+    return F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))

@@ -64,15 +64,34 @@ def carried_forward(run: DataFrame, skipped: DataFrame, previous: DataFrame) ->
 
 
 def admitted(items: DataFrame, limit: int, order: str, size: str) -> DataFrame:
-    """Greedy admission under a budget in a fixed order: what doesn't fit is refused, later smaller items may still fit.
+    """Greedy admission under a budget in a fixed, unique order: what doesn't fit is refused, later smaller items may still fit.
 
-    A fold over (order, size): sequential by nature, so candidates larger than the whole budget go first and only
-    (order, size) pairs reach the one task that folds.
+    Rounds over range partitions instead of one fold: running sums find the first item that doesn't fit, all before it
+    are taken, and the next round looks behind it for items no larger than what is left. The refused sizes fall from
+    round to round, so there are at most as many rounds as distinct sizes, and few in practice. Each round brings two
+    numbers to the driver; the result is a filter of the items.
     """
-    pairs = items.where((F.col(size) <= limit) & (F.col(size) > 0)).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("xs"))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast(f"array<{items.schema[order].dataType.simpleString()}>").alias("taken"))
-    fold = F.aggregate("xs", start, lambda a, x: F.when(a["used"] + x["s"] <= limit, F.struct((a["used"] + x["s"]).alias("used"), F.concat(a["taken"], F.array(x["o"])).alias("taken"))).otherwise(a))
-    return pairs.select(F.explode(fold["taken"]).alias(order)).join(items, order)
+    n = max(2, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pool = items.select(F.col(order).alias("o"), F.col(size).cast("long").alias("s")).where(F.col("o").isNotNull() & (F.col("s") > 0))
+    left, after, taken = limit, None, F.lit(False)
+    while left > 0:
+        behind = F.lit(True) if after is None else F.col("o") > F.lit(after)
+        dealt = pool.where(behind & (F.col("s") <= left)).repartitionByRange(n, "o").withColumn("part", F.spark_partition_id())
+        sums = dealt.groupBy("part").agg(F.sum("s").alias("s"))
+        before = sums.withColumn("before", F.sum("s").over(Window.orderBy("part")) - F.col("s")).drop("s")
+        total = F.sum("s").over(Window.partitionBy("part").orderBy("o")) + F.col("before")
+        run = dealt.join(F.broadcast(before), "part").withColumn("total", total)
+        refused, spent = run.agg(F.min(F.when(F.col("total") > left, F.col("o"))), F.max(F.when(F.col("total") <= left, F.col("total")))).first()
+        mine = (F.col(size) > 0) & (F.col(size) <= left)
+        if after is not None:
+            mine = mine & (F.col(order) > F.lit(after))
+        if refused is not None:
+            mine = mine & (F.col(order) < F.lit(refused))
+        taken = taken | mine
+        if refused is None:
+            break
+        left, after = left - (spent or 0), refused
+    return items.where(F.coalesce(taken, F.lit(False)))
 
 
 def latest(rows: DataFrame, keys: list[str], order: str, n: int = 1) -> DataFrame:

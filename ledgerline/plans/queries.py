@@ -615,7 +615,7 @@ def greedy_budget(spark, sf_dir):
 
 @query()
 def archive_sizes(spark, sf_dir):
-    """Sizes of archives made of the documents' first characters, read through."""
+    """Sizes of archives made of the documents, read through."""
     import gzip
     import io
     import zipfile

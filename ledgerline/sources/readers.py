@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.paths import EXTENSIONS, first_of
+
 MANIFEST, LISTING, VERSIONS = "key string, size long", "name string, clen long, etag string", "key string, version string, size long, etag string, is_latest boolean, last_modified string"
 CACHE = ["name", "etag", "clen", "uncomp", "method", "detected"]
 LEDGER = "end_epoch long, type string, arg string, job_id string, completed string, failed string, skipped string, bytes string, seconds string"
@@ -99,3 +101,39 @@ def walked(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     files = pages.where(~F.coalesce("is_folder", F.lit(False)) & ~F.coalesce("deleted", F.lit(False)))
     g = files.groupBy("rel").agg(F.min("size").alias("size"), F.max("size").alias("largest"))
     return g.where(F.col("size").eqNullSafe(F.col("largest"))).select("rel", "size"), g.where(~F.col("size").eqNullSafe(F.col("largest"))).select("rel")
+
+
+def manifest_rows(lines: DataFrame) -> DataFrame:
+    """Manifest lines (rel, size, drive, item[, mime]); a line of four columns gets its type from the name's ending. Headers start with #."""
+    p = F.split("value", "\t")
+    kinds = F.create_map(*(F.lit(x) for kind, ext in EXTENSIONS.items() for x in (ext, kind)))
+    guess = F.try_element_at(kinds, F.lower(F.regexp_extract(F.get(p, F.lit(0)), r"\.[A-Za-z0-9]+$", 0)))
+    rows = lines.where(~F.startswith("value", F.lit("#")) & (F.size(p) >= 4))
+    return rows.select(F.get(p, F.lit(0)).alias("rel"), F.coalesce(F.get(p, F.lit(1)).try_cast("long"), F.lit(0)).alias("size"), F.get(p, F.lit(2)).alias("drive"), F.get(p, F.lit(3)).alias("item"), F.coalesce(F.nullif(F.get(p, F.lit(4)), F.lit("")), guess, F.lit("application/octet-stream")).alias("mime"))
+
+
+def page_rows(pages: DataFrame) -> DataFrame:
+    """(name, clen, etag) of XML list pages held in a column."""
+    schema = "Blobs struct<Blob: array<struct<Name: string, Properties: struct<`Content-Length`: bigint, Etag: string>>>>"
+    b = pages.select(F.explode(F.from_xml("page", schema)["Blobs"]["Blob"]).alias("b"))
+    return b.select(F.col("b.Name").alias("name"), F.coalesce(F.col("b.Properties.`Content-Length`"), F.lit(0)).alias("clen"), F.coalesce("b.Properties.Etag", F.lit("")).alias("etag"))
+
+
+def rows_of_lines(lines: DataFrame, schema: str) -> DataFrame:
+    """JSON lines held in a column; blank and broken ones go."""
+    row = F.from_json("value", f"{schema}, _broken string", {"columnNameOfCorruptRecord": "_broken"})
+    return lines.select(row.alias("r")).where("r is not null and r._broken is null").select("r.*").drop("_broken")
+
+
+def first_per_row(rows: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
+    """The first row of each id; rows without one are told apart by their canonical JSON."""
+    mark = F.when(F.col(key).isNotNull(), F.concat(F.lit("#"), F.col(key).cast("string"))).otherwise(F.to_json(F.struct(*columns)))
+    return rows.groupBy(mark.alias("_mark")).agg(F.min_by(F.struct(*rows.columns), order).alias("r")).select("r.*")
+
+
+def enveloped(pages: DataFrame, body: str, keys: tuple[str, ...]) -> DataFrame:
+    """Each page's items as JSON texts, from a bare array or the first envelope key that holds one, and the page's next cursor."""
+    bare = F.when(F.startswith(F.ltrim(F.col(body)), F.lit("[")), F.col(body))
+    cursor = first_of(*(F.get_json_object(body, p) for p in ("$.nextCursor", "$.cursor", "$.paging.next")))
+    items = F.from_json(F.coalesce(bare, *(F.get_json_object(body, f"$.{k}") for k in keys)), "array<variant>")
+    return pages.withColumn("cursor", cursor).withColumn("item", F.explode(F.transform(items, lambda x: F.to_json(x)))).drop(body)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import paths as P
 from ledgerline.functions import services as S
 from ledgerline.operators import binary, diff, planning, reconcile
-from ledgerline.plans import queries as Q
+from ledgerline.plans import landed as Q
 
 SF = "/root/testdata/sf0.001"
 
@@ -75,6 +75,37 @@ def test_paths(spark):
     assert one(spark, P.file_path(F.lit("F012345"), F.lit(""), F.lit("png"))) == "files/F012/F012345/F012345.png"
 
 
+def test_decisions(spark):
+    from ledgerline.functions import decisions as D
+
+    assert one(spark, D.body_error(F.lit('{"data":[{"code":"X"}],"code":"Y"}'))) == "X"
+    assert one(spark, D.body_error(F.lit('{"code":5,"error":{"a":1}}'))) in ("", "5")
+    assert one(spark, D.body_error(F.lit("garbage"))) == ""
+    assert one(spark, D.body_failed(F.lit('{"status":"Failure","code":"7"}'))) == "7"
+    assert one(spark, D.body_failed(F.lit('{"status":"ok"}'))) == ""
+    assert one(spark, D.mapping_suspect(F.lit(10), F.lit(1000), F.lit(19))) is True
+    assert one(spark, D.mapping_suspect(F.lit(10), F.lit(1000), F.lit(20))) is False
+    assert [one(spark, c) for c in P.export_of_tag(F.lit("x.ZIP"))] == ["zip", "x.ZIP"]
+    assert one(spark, P.safe_filename(F.lit(' a/b: "c" . '))) == "a b c "
+
+
+def test_greedy_admission(spark):
+    """A distributed admission equals the plain fold, ties and zero sizes too."""
+    import random
+
+    from ledgerline.operators import sizing
+
+    r = random.Random(3)
+    items = [(i, r.choice([0, 1, 5, 40, 90, 300])) for i in range(300)]
+    used, want = 0, []
+    for i, s in items:
+        if 0 < s <= 1000 - used:
+            used += s
+            want.append(i)
+    got = sizing.admitted(spark.createDataFrame(items, "id long, s long"), 1000, "id", "s")
+    assert sorted(x["id"] for x in got.collect()) == want
+
+
 def test_manifest_diff(spark):
     m = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4)], "key string, size long")
     d = spark.createDataFrame([("a", 1), ("c", 9), ("d", 4), ("e", 5)], "key string, size long")
