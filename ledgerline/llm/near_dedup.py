@@ -44,8 +44,8 @@ from .components import components
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-#: Pairs whose registers agree less aren't verified: five standard deviations under 0.8, in steps 3 and 4 alike.
-AGREEMENT = 0.62
+#: Pairs whose registers agree less aren't verified: five standard deviations under 0.8 in step 3, 2.8 in step 4.
+AGREEMENT, AGREEMENT_BLOCKS = 0.62, 0.7
 #: Members of a bucket that one block of step 4 compares with another.
 BLOCK = 512
 U = W.U64
@@ -228,9 +228,9 @@ def _blocks(kind: str, most: int) -> tuple:
             if x != y:
                 out |= side[some][:, None] == side[None, :]
             agree[out] = 0
-            cut |= bool(((agree >= AGREEMENT).sum(1) > most).any())
+            cut |= bool(((agree >= AGREEMENT_BLOCKS).sum(1) > most).any())
             best = np.argsort(-agree, 1, kind="stable")[:, :most]
-            good = np.take_along_axis(agree, best, 1) >= AGREEMENT
+            good = np.take_along_axis(agree, best, 1) >= AGREEMENT_BLOCKS
             i, j = ids[np.repeat(some, good.sum(1))], ids[best[good]]
             found.update(zip(np.minimum(i, j).tolist(), np.maximum(i, j).tolist(), strict=True))
         if not found:
