@@ -9,6 +9,14 @@ fill consistently: one value of the item always meets one value of the document.
 So a question that was given new numbers, names or units is caught, and one
 where the fillings contradict each other is not.
 
+A window may recur within an item (runs of numbers or capitalised words, answer
+options, repeated phrases) and then also meets its own neighbours. So alignments
+are tested one by one, and a consistent one that covers enough is a leak: all
+windows within a few words of a shift, those of each exact shift, and the longest
+chain of windows in the order of both texts. In the last two, a window without
+any word outside its slots counts only if two of its values are the same in the
+document, as other numbers or names in a row are nothing of the item.
+
 Benchmark windows are broadcast as hashes only while there are fewer than
 BROADCAST_WINDOWS; beyond, all document windows take part in a shuffled join.
 
@@ -155,6 +163,79 @@ def _windowed(df: DataFrame, key: str, text: str, keep: object) -> DataFrame:
     return over_batches(df.select(key, text), make, f"id {kind}, h long, place long, slots array<long>")
 
 
+def _slots_met(item_slots: np.ndarray, doc_slots: np.ndarray) -> int:
+    """How many values of the item the windows hold, or -1 if one of them met two values."""
+    some = item_slots != 0
+    pairs = np.unique(np.stack([item_slots[some], doc_slots[some]]), axis=1)
+    return pairs.shape[1] if len(np.unique(pairs[0])) == pairs.shape[1] else -1
+
+
+def _longest_chain(place: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """The most windows whose places rise in both texts; among those, the chain whose shift changes least."""
+    shifts, s = np.unique(shift, return_inverse=True)
+    back = np.maximum(0, shifts[:, None] - shifts[None, :])  # by shift before and after: a smaller shift needs so many places more
+    turn = np.abs(shifts[:, None] - shifts[None, :])
+    places, q = np.unique(place, return_inverse=True)
+    most = (turn.max() + 1) * (len(places) + 1)
+    best = np.zeros((len(places) + 1, len(shifts)), np.int64)  # the best chain that ends at a shift, among the first n places
+    last = np.full((len(places) + 1, len(shifts)), -1)
+    came = np.full(len(place), -1)
+    order = np.argsort(q, kind="stable")
+    ends = np.searchsorted(q[order], np.arange(len(places) + 1))
+    every = np.arange(len(shifts))
+    for n in range(len(places)):
+        best[n + 1], last[n + 1] = best[n], last[n]
+        for i in order[ends[n] : ends[n + 1]]:
+            upto = np.searchsorted(places, places[n] - back[:, s[i]])
+            found = last[upto, every]
+            score = np.where(found >= 0, best[upto, every] - turn[:, s[i]], 0)
+            k = int(score.argmax())
+            came[i] = found[k] if score[k] > 0 else -1
+            if score[k] + most > best[n + 1, s[i]]:
+                best[n + 1, s[i]], last[n + 1, s[i]] = score[k] + most, i
+    chain, i = [], last[-1, best[-1].argmax()]
+    while i >= 0:
+        chain.append(i)
+        i = came[i]
+    return np.array(chain, np.int64)
+
+
+def _consistent(batch: pa.RecordBatch, coverage: int) -> pa.RecordBatch:
+    """The rows (key, item, item_windows, hits) with an alignment that covers enough and is consistent, and that one's windows and values."""
+    hits = batch.column(3)
+    flat = hits.flatten()
+    place, doc_place = (flat.field(k).to_numpy() for k in (0, 1))
+    item_slots, doc_slots = (flat.field(k).flatten().to_numpy().reshape(-1, WINDOW) for k in (2, 3))
+    counts = hits.value_lengths().to_numpy()
+    ends = np.cumsum(counts)
+    need = batch.column(2).to_numpy() * coverage
+    counting = (item_slots == 0).any(1) | ((item_slots == doc_slots).sum(1) >= 2)
+    rows, windows, values = [], [], []
+    for r in range(batch.num_rows):
+        of = np.arange(ends[r] - counts[r], ends[r])
+        shift = doc_place[of] - place[of]
+        found = []
+
+        def test(some: np.ndarray, n: int) -> None:
+            if 100 * n >= need[r] and (met := _slots_met(item_slots[some], doc_slots[some])) >= 0:
+                found.append((n, met))
+
+        test(of, len(np.unique(place[of])))
+        for x in np.unique(shift):
+            some = of[shift == x]
+            test(some, len(np.unique(place[some[counting[some]]])))
+        if not found and counting[of].any():
+            some = of[counting[of]]
+            chain = some[_longest_chain(place[some], doc_place[some] - place[some])]
+            test(chain, len(chain))
+        if found:
+            rows.append(r)
+            windows.append(max(n for n, _ in found))
+            values.append(max(v for _, v in found))
+    kept = batch.select([0, 1, 2]).take(pa.array(rows, pa.int64()))
+    return pa.record_batch([*kept.columns, pa.array(windows, pa.int64()), pa.array(values, pa.int64())], [*kept.schema.names, "n_windows", "n_slots"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text", coverage: int = COVERAGE_PERCENT) -> DataFrame:
     """(key, item, n_windows, item_windows, n_slots): the documents' leaked items."""
     spark = docs.sparkSession
@@ -168,14 +249,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str
     met = mine.select(key, "h", F.col("place").alias("doc_place"), F.col("slots").alias("doc_slots")).join(items.select(item, "h", "place", F.col("slots").alias("item_slots")), "h")
     # aligned: the copy's shift between item and document; a few inserted words move it, so shifts are pooled by 8
     met = met.withColumn("shift", F.floor((F.col("doc_place") - F.col("place")) / 8))
-    per = met.groupBy(key, item, "shift").agg(F.collect_set("place").alias("places"), F.collect_set(F.when(F.exists("item_slots", lambda x: x != 0), F.struct("item_slots", "doc_slots"))).alias("fills"))
-    both = per.select(key, item, F.explode(F.array("shift", F.col("shift") + 1)).alias("shift"), "places", "fills")
-    pooled = both.groupBy(key, item, "shift").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"), F.flatten(F.collect_list("fills")).alias("fills"))
-    pairs = F.array_distinct(F.flatten(F.transform("fills", lambda f: F.filter(F.arrays_zip(f["item_slots"].alias("i"), f["doc_slots"].alias("d")), lambda p: p["i"] != 0))))
-    pooled = pooled.withColumn("pairs", pairs)
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")
-    good = pooled.join(sizes, item).where(consistent & (100 * F.size("places") >= coverage * F.col("item_windows")))
-    best = good.groupBy(key, item).agg(F.max(F.size("places")).cast("long").alias("n_windows"), F.max("item_windows").alias("item_windows"), F.max(F.size("pairs")).cast("long").alias("n_slots"))
+    per = met.groupBy(key, item, "shift").agg(F.collect_set(F.struct("place", "doc_place", "item_slots", "doc_slots")).alias("hits"))
+    both = per.select(key, item, F.explode(F.array("shift", F.col("shift") + 1)).alias("shift"), "hits")
+    pooled = both.groupBy(key, item, "shift").agg(F.flatten(F.collect_list("hits")).alias("hits")).join(sizes, item)
+    enough = pooled.where(100 * F.size(F.array_distinct("hits.place")) >= coverage * F.col("item_windows"))
+    kinds = ", ".join(f"`{c}` {enough.schema[c].dataType.simpleString()}" for c in (key, item))
+    good = over_batches(enough.select(key, item, "item_windows", "hits"), lambda batch: _consistent(batch, coverage), f"{kinds}, item_windows long, n_windows long, n_slots long")
+    best = good.groupBy(key, item).agg(F.max("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"), F.max("n_slots").alias("n_slots"))
     return best.select(key, item, "n_windows", "item_windows", "n_slots")
 
 

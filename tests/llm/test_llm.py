@@ -173,6 +173,33 @@ def test_decontamination(spark, empty):
     assert decontamination.leaks(empty, bench).count() == 0
 
 
+def test_decontamination_where_windows_recur(spark):
+    numbers = "3 14 15 92 65 35 89 79 32 38 46 26 43 38 32 79 50 28 84 19"
+    items = {
+        1: numbers,
+        2: "Which of these sums is right? A) 10 B) 11 C) 12 D) 13 E) 14 F) 15",
+        3: "WHAT IS THE CAPITAL OF FRANCE AND WHICH RIVER FLOWS THROUGH IT TO THE SEA",
+        4: "Tom has 3 apples and Ann has 5 apples and Bob has 9 apples and Eva has 4 apples",
+    }
+    parts = numbers.split()
+    swapped = items[4].replace("Ann", "Kim").replace("5", "8")
+    cases = {
+        11: (1, f"some words {numbers} and more"), 12: (2, items[2]), 13: (3, f"it asks {items[3]} here"), 14: (4, f"so {items[4]} now"),
+        15: (4, f"so {swapped} now"), 16: (1, f"some words {' '.join(parts[:10])} then {' '.join(parts[10:])} and more"),
+        17: (None, "Numbers 7 and 8 and the apples are here. " + prose(60)),
+        # 38 and 32 recur in the item, but meet two values here
+        18: (None, "some words 3 14 15 92 65 35 89 79 32 38 46 26 43 39 33 79 50 28 84 19 and more"),
+        19: (None, "other numbers " + " ".join(map(str, range(100, 140)))),
+        20: (None, "SOME QUITE DIFFERENT LINES THAT ARE IN CAPITALS THROUGHOUT AND SAY NOTHING ABOUT IT AT ALL"),
+    }
+    docs = spark.createDataFrame([(d, t) for d, (_, t) in cases.items()], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontamination.leaks(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert set(got) == {(d, i) for d, (i, _) in cases.items() if i}
+    # a name that opens the item is no slot there, so its first window may differ
+    assert all(got[d, i]["n_windows"] >= got[d, i]["item_windows"] - 1 for d, (i, _) in cases.items() if i and d != 16)
+    assert got[16, 1]["n_windows"] == 12
+
+
 def test_licenses(docs, empty):
     s = license_scan.Scanner()
     line = dict(license_scan.TEMPLATES)["GPL-3.0-line"]
