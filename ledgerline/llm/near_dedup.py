@@ -210,7 +210,7 @@ def _blocks(kind: str, most: int) -> tuple:
         ids, side, x, y = members["id"].to_numpy(), members["side"].to_numpy(), int(members["x"].iloc[0]), int(members["y"].iloc[0])
         cls = np.unique(members["class"].to_numpy(), return_inverse=True)[1]
         largest = int(np.bincount(cls).argmax())
-        first, band = members["first"].iloc[0], int(members["band"].iloc[0])
+        first, before = members["first"].iloc[0], np.array(members["before"].tolist(), np.int64).reshape(len(ids), -1)
         tried = np.zeros((len(ids), len(ids)), bool)
         if len(tested):
             p, q = (np.searchsorted(ids, tested[c].to_numpy()) for c in ("a", "b"))
@@ -223,8 +223,8 @@ def _blocks(kind: str, most: int) -> tuple:
             some = outside[lo : lo + 64]
             same = regs[some][:, None, :] == regs[None, :, :]
             agree = same.mean(2, dtype=np.float32)
-            # a pair that meets in an earlier band is that bucket's to propose
-            earlier = same[:, :, : band * ROWS].reshape(len(some), len(ids), band, ROWS).all(3).any(2)
+            # a pair that meets in an earlier band is that bucket's to propose; whole band values tell, as bytes of registers may collide
+            earlier = (before[some][:, None, :] == before[None, :, :]).any(2)
             out = earlier | (cls[some][:, None] == cls[None, :]) | tried[some]
             if x != y:
                 out |= side[some][:, None] == side[None, :]
@@ -265,7 +265,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     first = member.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
     held = saved(member.join(first, "bucket"), "buckets")
     star = held.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    signs = reps.select("id", "signature")
+    signs = reps.select("id", "signature", "bands")
     likely = star.join(signs.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b").join(signs.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a")
 
     def agreeing(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -287,7 +287,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
         of = held.join(signs, "id")
         n = F.ceil(F.col("n") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("id"), n).cast("int")
-        of = of.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "band", "id", "first", "class", "signature")
+        of = of.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "id", "first", "class", "signature", F.slice("bands", 1, F.col("band")).alias("before"))
         search, schema = _blocks(kind, most)
         spark = docs.sparkSession
         done = tested if tested is not None else spark.createDataFrame([], schema)

@@ -80,6 +80,23 @@ def test_near_dedup(docs, empty):
     assert kept.columns == docs.columns
 
 
+def near_pair(spark, monkeypatch, bands, signatures):
+    """The classes of a near pair, 2 and 3, that meets in a bucket whose first member is another document, under the given signatures."""
+    rows = [(i, 196, i, i, b, bytes(s)) for i, (b, s) in enumerate(zip(bands, signatures, strict=True), 1)]
+    made = spark.createDataFrame(rows, "doc_id long, weight long, fp1 long, fp2 long, bands array<long>, signature binary")
+    monkeypatch.setattr(near_dedup, "signed", lambda docs, key, text: made)
+    docs = spark.createDataFrame([(1, TEXTS[9]), (2, BASE), (3, TEXTS[7])], "doc_id long, text string")
+    return {r["doc_id"]: r["class_id"] for r in near_dedup.classes(docs).collect()}
+
+
+def test_near_pair_whose_bytes_collide_in_an_earlier_band(spark, monkeypatch):
+    m, own = near_dedup.REGISTERS, np.arange(near_dedup.BANDS)
+    bands = [(1000 * d + own).tolist() for d in (1, 2, 3)]
+    for b in bands:
+        b[3] = 7
+    assert near_pair(spark, monkeypatch, bands, [[1] * m, [2] * m, [2] * m]) == {1: 1, 2: 2, 3: 2}
+
+
 def test_components(spark, monkeypatch):
     from ledgerline.llm import components as C
 
