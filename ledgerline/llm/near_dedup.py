@@ -17,7 +17,9 @@ searched in blocks for further pairs by register agreement. A member outside
 the bucket's largest class proposes its four best untested partners of other
 classes, then sixteen, sixty-four and so on; each round's pairs are verified
 and classes joined before the next. Only buckets in which a member had more
-partners than it could propose go on to the next round, until none is left;
+partners than it could propose go on to the next round, until none is left.
+A second search of the same buckets takes the pairs of lower agreement, down to
+step 3's, between members that the first left in different classes;
 (5) components of the verified links are the classes. No pairs within a group
 are written out: step 3 writes one per member, a round of step 4 a few per
 member that is still outside.
@@ -45,7 +47,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 #: Bands take the first half of the registers; estimates of the similarity take all, with a standard deviation of 0.025 at 0.8.
 REGISTERS = 2 * BANDS * ROWS
-#: Pairs whose registers agree less aren't verified: five standard deviations under 0.8 in step 3, 2.8 in step 4.
+#: Pairs whose registers agree less than AGREEMENT aren't verified: five standard deviations under 0.8. Step 4 first searches down to AGREEMENT_BLOCKS.
 AGREEMENT, AGREEMENT_BLOCKS = 0.67, 0.73
 #: Members of a bucket that one block of step 4 compares with another.
 BLOCK = 512
@@ -198,7 +200,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return over_batches(joined.select("a", "b", "left", "right"), test, f"a {kind}, b {kind}")
 
 
-def _blocks(kind: str, most: int) -> tuple:
+def _blocks(kind: str, most: int, agreement: float) -> tuple:
     """The search of step 4 in one cell of one bucket, for at most `most` partners of each member now, and its schema."""
 
     def search(members: pd.DataFrame, tested: pd.DataFrame) -> pd.DataFrame:
@@ -229,9 +231,9 @@ def _blocks(kind: str, most: int) -> tuple:
             if x != y:
                 out |= side[some][:, None] == side[None, :]
             agree[out] = 0
-            cut |= bool(((agree >= AGREEMENT_BLOCKS).sum(1) > most).any())
+            cut |= bool(((agree >= agreement).sum(1) > most).any())
             best = np.argsort(-agree, 1, kind="stable")[:, :most]
-            good = np.take_along_axis(agree, best, 1) >= AGREEMENT_BLOCKS
+            good = np.take_along_axis(agree, best, 1) >= agreement
             i, j = ids[np.repeat(some, good.sum(1))], ids[best[good]]
             found.update(zip(np.minimum(i, j).tolist(), np.maximum(i, j).tolist(), strict=True))
         if not found:
@@ -276,36 +278,38 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     texts = _texts(docs, key, text, pairs)
     links = saved(_verified(pairs, texts, similarity), "verified")
     dropped(texts)
-    most = 4
-    tested = None
+    tested = every = None
     roots = components(links)
-    while True:
-        of = held.where("n > 2").drop("class").join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "band", "id", "first", "n", F.coalesce("root", "id").alias("class"))
-        of = saved(of, "members")
-        mixed = of.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-        held = saved(of.join(mixed, "bucket", "left_semi").select("bucket", "band", "id", "first", "n", "class"), "buckets")
-        of = held.join(signs, "id")
-        n = F.ceil(F.col("n") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("id"), n).cast("int")
-        of = of.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "id", "first", "class", "signature", F.slice("bands", 1, F.col("band")).alias("before"))
-        search, schema = _blocks(kind, most)
-        spark = docs.sparkSession
-        done = tested if tested is not None else spark.createDataFrame([], schema)
-        cell = ["bucket", "x", "y"]
-        more = saved(of.groupBy(*cell).cogroup(done.groupBy(*cell)).applyInPandas(search, schema), "more")
-        if more.limit(1).count() == 0:
-            break
-        pairs = saved(more.select("a", "b").distinct(), "pairs")
-        texts = _texts(docs, key, text, pairs)
-        links = saved(links.union(_verified(pairs, texts, similarity)), "verified")
-        dropped(texts)
-        roots = components(links)
-        again = saved(more.where("cut").select("bucket").distinct(), "again")
-        if again.limit(1).count() == 0:
-            break
-        held = held.join(again, "bucket", "left_semi")
-        tested = more if tested is None else saved(tested.union(more), "tested")
-        most *= 4
+    for agreement in (AGREEMENT_BLOCKS, AGREEMENT):
+        most, held = 4, held if every is None else every
+        while True:
+            of = held.where("n > 2").drop("class").join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "band", "id", "first", "n", F.coalesce("root", "id").alias("class"))
+            of = saved(of, "members")
+            mixed = of.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
+            held = saved(of.join(mixed, "bucket", "left_semi").select("bucket", "band", "id", "first", "n", "class"), "buckets")
+            every = held if every is None else every
+            of = held.join(signs, "id")
+            n = F.ceil(F.col("n") / BLOCK).cast("int")
+            own = F.pmod(F.xxhash64("id"), n).cast("int")
+            of = of.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "id", "first", "class", "signature", F.slice("bands", 1, F.col("band")).alias("before"))
+            search, schema = _blocks(kind, most, agreement)
+            spark = docs.sparkSession
+            done = tested if tested is not None else spark.createDataFrame([], schema)
+            cell = ["bucket", "x", "y"]
+            more = saved(of.groupBy(*cell).cogroup(done.groupBy(*cell)).applyInPandas(search, schema), "more")
+            if more.limit(1).count() == 0:
+                break
+            tested = more if tested is None else saved(tested.union(more), "tested")
+            pairs = saved(more.select("a", "b").distinct(), "pairs")
+            texts = _texts(docs, key, text, pairs)
+            links = saved(links.union(_verified(pairs, texts, similarity)), "verified")
+            dropped(texts)
+            roots = components(links)
+            again = saved(more.where("cut").select("bucket").distinct(), "again")
+            if again.limit(1).count() == 0:
+                break
+            held = held.join(again, "bucket", "left_semi")
+            most *= 4
     rooted = reps.select("id", *same).join(roots.withColumnRenamed("node", "id"), "id", "left").select(*same, F.coalesce("root", "id").alias("class_id"))
     return sig.select(key, *same).join(rooted, same).select(key, "class_id")
 

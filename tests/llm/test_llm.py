@@ -97,6 +97,16 @@ def test_near_pair_whose_bytes_collide_in_an_earlier_band(spark, monkeypatch):
     assert near_pair(spark, monkeypatch, bands, [[1] * m, [2] * m, [2] * m]) == {1: 1, 2: 2, 3: 2}
 
 
+@pytest.mark.parametrize("agreeing, together", [(170, True), (165, False)])
+def test_near_pair_of_low_agreement(spark, monkeypatch, agreeing, together):
+    m, own = near_dedup.REGISTERS, np.arange(near_dedup.BANDS)
+    bands = [(1000 * d + own).tolist() for d in (1, 2, 3)]
+    for b in bands:
+        b[0] = 7
+    got = near_pair(spark, monkeypatch, bands, [[1] * m, [2] * m, [2] * agreeing + [3] * (m - agreeing)])
+    assert got == {1: 1, 2: 2, 3: 2 if together else 3}
+
+
 def test_components(spark, monkeypatch):
     from ledgerline.llm import components as C
 
