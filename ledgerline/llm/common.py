@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 BATCH_ROWS = 1000
 BATCH_BYTES = 8 << 20
+_made: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,33 +27,49 @@ def arrow_limits(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only where none is named (tests) is a local one set."""
+    """The cluster's shared folder. Where none is named, local mode takes a folder of its own; a cluster is refused."""
     jsc = spark.sparkContext._jsc.sc()
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         if jsc.getCheckpointDir().isDefined():
             return jsc.getCheckpointDir().get()
-        folder = "/tmp/checkpoints"
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+        folder = f"{tempfile.gettempdir()}/ledgerline-checkpoints"
     if not jsc.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def _run_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one; it's deleted when the application ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/ledgerline/{spark.sparkContext.applicationId}"
+    if folder not in _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _made.add(folder)
+    return folder
+
+
 def saved(df: DataFrame, name: str = "step") -> DataFrame:
     """Writes df to the shared folder and reads it again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/ledgerline/{name}-{uuid.uuid4().hex}"
+    path = f"{_run_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dropped(df: DataFrame) -> None:
-    """Deletes the files behind a table that saved() returned."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/ledgerline/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+def dropped(*tables: DataFrame | None) -> None:
+    """Deletes the files behind tables that saved() returned and nothing reads again."""
+    for df in tables:
+        if df is not None:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+            for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+                if "/ledgerline/" in folder:
+                    path = jvm.org.apache.hadoop.fs.Path(folder)
+                    path.getFileSystem(conf).delete(path, True)
 
 
 def over_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

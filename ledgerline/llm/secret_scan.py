@@ -7,6 +7,9 @@ from whole-buffer bit passes. Kinds with an embedded checksum are kept only if
 it holds: 36-character access tokens end in the base-62 CRC-32 of what stands
 before, and a JSON web token's header must decode to JSON with an algorithm.
 
+Each place of a text is looked at a bounded number of times: a keyword inside a
+match or inside a run that failed as a web token is passed over.
+
 Spans are code points, end exclusive. Defined cases: null text is an empty text
 without secrets; repeated rows give repeated results; equal starts sort by the
 kinds' order; an empty table gives an empty table; further columns pass through
@@ -40,7 +43,8 @@ _ASSIGN = re.compile(rb"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HOST = re.compile(rb"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 _PACKAGE = re.compile(rb"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
-_WEB = re.compile(rb"(eyJ[A-Za-z0-9_-]{8,})\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+_WEB = re.compile(rb"(eyJ[A-Za-z0-9_-]{8,}+)\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")
+_WEB_RUN = re.compile(rb"[A-Za-z0-9_-]*+")
 #: Keyword (lower case) -> kind and pattern.
 _KEYWORDS = {
     **{k: ("assign", _ASSIGN) for k in ("password", "passwd", "secret", "token", "api_key", "apikey")},
@@ -72,7 +76,7 @@ def _good(kind: str, m: re.Match) -> bool:
     if kind == "web_token":
         try:
             head = json.loads(base64.urlsafe_b64decode(m[1] + b"=" * (-len(m[1]) % 4)))
-        except (ValueError, binascii.Error):
+        except (ValueError, binascii.Error, RecursionError):  # no base64, no JSON, or JSON nested beyond any header
             return False
         return isinstance(head, dict) and "alg" in head
     return base62(zlib.crc32(m[1])).encode() == m[2]
@@ -119,17 +123,21 @@ def spans(column: pa.Array) -> list[list[tuple[str, int, int]]]:
     ends: dict[tuple[int, str], int] = {}
     body = b.tobytes()
     places = offsets.tolist()
-    for last, keyword in sorted(((e, k) for e, k in _keywords().iter(body.lower().decode("latin-1"))), key=lambda x: x[0] - len(x[1])):
+    # no keyword holds another of its kind, so hits of a kind come in the order of their starts
+    for last, keyword in _keywords().iter(body.lower().decode("latin-1")):
         start = last - len(keyword) + 1
         kind, pattern = _KEYWORDS[keyword]
         doc = int(np.searchsorted(offsets, start, side="right")) - 1
         if start < ends.get((doc, kind), 0):
             continue
         m = pattern.match(body, start, places[doc + 1])
-        if m:
+        good = m and _good(kind, m)
+        if good:
+            found[doc].append((kind, start, m.end()))
+        if kind == "web_token" and not good:  # no later start in this run can do better, as what must follow the run is the same
+            ends[doc, kind] = _WEB_RUN.match(body, start, places[doc + 1]).end()
+        elif m:
             ends[doc, kind] = m.end()
-            if _good(kind, m):
-                found[doc].append((kind, start, m.end()))
     for start, end in _hex_runs(b, offsets):
         found[int(np.searchsorted(offsets, start, side="right")) - 1].append(("hex", start, end))
     out = []
