@@ -48,7 +48,7 @@ def components(edges: DataFrame) -> DataFrame:
     never gathered: minima are aggregated and joined back. At most FEW edges of
     whole-number nodes are joined in one task instead.
     """
-    if edges.schema["a"].dataType.simpleString() in ("int", "bigint") and edges.limit(FEW + 1).count() <= FEW:
+    if edges.schema["a"].dataType.simpleString() in ("int", "bigint") and edges.count() <= FEW:
         return saved(_in_one_task(edges), "roots")
     now = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     while True:

@@ -10,31 +10,34 @@ than a bound that fills all registers are never made; a signature that the
 bound left unfilled is made again with twice the bound.
 
 Steps: (1) equal multisets are one class by fingerprint, and only one document
-of each goes on; (2) bands of registers give buckets; (3) each bucket's members
-are linked to its first member, and every link is verified by the exact
-multiset overlap of the texts; (4) buckets that still hold several classes are
-searched in blocks for further pairs by register agreement. A member outside
-the bucket's largest class proposes its four best untested partners of other
-classes, then sixteen, sixty-four and so on; each round's pairs are verified
-and classes joined before the next. Only buckets in which a member had more
-partners than it could propose go on to the next round, until none is left.
-A second search of the same buckets takes the pairs of lower agreement, down to
-step 3's, between members that the first left in different classes;
-(5) components of the verified links are the classes. No pairs within a group
-are written out: step 3 writes one per member, a round of step 4 a few per
-member that is still outside.
-
-Defined cases: null text is an empty text; texts without words are copies of
-each other; a text of one to four words has its whole word sequence as its only
-shingle; repeated rows of one doc_id get the same class; an empty table gives an
-empty table; the kept document of a class is the one with the smallest id;
-further columns pass through.
+of each goes on; (2) bands of registers give buckets, of which one of each set of
+members is kept; (3) each bucket's members are linked to its first member if the
+exact multiset overlap of their texts is enough. Buckets of two are then decided.
+In larger ones pairs whose registers agree little are left to step 4; (4) buckets
+that still hold several classes are split by weight, as a similarity of 0.8 bounds
+the ratio of two weights: a group holds the members of one step of 1.25 and of the
+next. Groups are dealt to cells of at most two blocks of members. A cell computes
+the exact overlaps of its members outside its largest class with all others, as
+products of incidence matrices, and returns a forest of links between classes; (5)
+components of the links are the classes.
+
+So each pair that shares a bucket is either joined by other links or decided by its
+exact overlap; estimates decide nothing. A pair at similarity 0.8 shares no bucket
+with a probability of 5e-5. No pairs within a group are written out: step 3 writes
+one per member, step 4 at most one per class of a cell.
+
+Defined cases: null text is an empty text; texts without words are copies of each
+other; a text of one to four words has its whole word sequence as its only shingle;
+repeated rows of one key get the same class; of rows of one key with different
+texts, the text with the smallest hash stands for all, in classes and in what is
+kept; rows with a null key are in no class and all kept; an empty table gives an
+empty table; the kept document of a class is the one with the smallest key, the
+row with the smallest hash if that key's rows differ; further columns pass through.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,12 +48,13 @@ from .components import components
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
-#: Bands take the first half of the registers; estimates of the similarity take all, with a standard deviation of 0.025 at 0.8.
-REGISTERS = 2 * BANDS * ROWS
-#: Pairs whose registers agree less than AGREEMENT aren't verified: five standard deviations under 0.8. Step 4 first searches down to AGREEMENT_BLOCKS.
-AGREEMENT, AGREEMENT_BLOCKS = 0.67, 0.73
-#: Members of a bucket that one block of step 4 compares with another.
-BLOCK = 512
+REGISTERS = BANDS * ROWS
+#: Step 3 leaves pairs of buckets of more than two to step 4 if fewer of their registers agree.
+AGREEMENT = 0.6
+#: Members of a block of step 4, and the shingles that all of them hold together, about.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+#: Shingles that more members of a cell hold are counted by matrix products, the others by pairs.
+RARE = 24
 U = W.U64
 
 
@@ -134,8 +138,12 @@ def _registers(doc: np.ndarray, shingle: np.ndarray, count: np.ndarray, bound: n
     return full | (bound == 0)
 
 
+def _hash(text: str) -> F.Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def signed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, weight, fp1, fp2, bands, signature): the multiset's size and fingerprint, its buckets, a byte per register."""
+    """(key, th, weight, fp1, fp2, bands, signature): the text's hash, the multiset's size and fingerprint, its buckets, a byte per register."""
     kind = docs.schema[key].dataType.simpleString()
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -158,6 +166,7 @@ def signed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         return pa.record_batch(
             {
                 key: batch.column(0),
+                "th": batch.column(2),
                 "weight": pa.array(weight),
                 "fp1": pa.array(prints[0]),
                 "fp2": pa.array(prints[1]),
@@ -166,7 +175,7 @@ def signed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             }
         )
 
-    return over_batches(docs.select(key, text), sign, f"`{key}` {kind}, weight long, fp1 long, fp2 long, bands array<long>, signature binary")
+    return over_batches(docs.select(key, text, _hash(text).alias("th")), sign, f"`{key}` {kind}, th long, weight long, fp1 long, fp2 long, bands array<long>, signature binary")
 
 
 def overlaps(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -200,124 +209,171 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return over_batches(joined.select("a", "b", "left", "right"), test, f"a {kind}, b {kind}")
 
 
-def _blocks(kind: str, most: int, agreement: float) -> tuple:
-    """The search of step 4 in one cell of one bucket, for at most `most` partners of each member now, and its schema."""
-
-    def search(members: pd.DataFrame, tested: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({c: [] for c in ("bucket", "x", "y", "a", "b", "cut")})
-        if len(members) < 2 or members["class"].nunique() < 2:
-            return empty
-        members = members.sort_values("id", ignore_index=True)
-        regs = np.frombuffer(b"".join(members["signature"]), np.uint8).reshape(len(members), -1)
-        ids, side, x, y = members["id"].to_numpy(), members["side"].to_numpy(), int(members["x"].iloc[0]), int(members["y"].iloc[0])
-        cls = np.unique(members["class"].to_numpy(), return_inverse=True)[1]
-        largest = int(np.bincount(cls).argmax())
-        first, before = members["first"].iloc[0], np.array(members["before"].tolist(), np.int64).reshape(len(ids), -1)
-        tried = np.zeros((len(ids), len(ids)), bool)
-        if len(tested):
-            p, q = (np.searchsorted(ids, tested[c].to_numpy()) for c in ("a", "b"))
-            tried[p, q] = tried[q, p] = True
-        if ids[0] == first:
-            tried[0] = tried[:, 0] = True
-        found, cut = set(), False
-        outside = np.flatnonzero(cls != largest)
-        for lo in range(0, len(outside), 64):
-            some = outside[lo : lo + 64]
-            same = regs[some][:, None, :] == regs[None, :, :]
-            agree = same.mean(2, dtype=np.float32)
-            # a pair that meets in an earlier band is that bucket's to propose; whole band values tell, as bytes of registers may collide
-            earlier = (before[some][:, None, :] == before[None, :, :]).any(2)
-            out = earlier | (cls[some][:, None] == cls[None, :]) | tried[some]
-            if x != y:
-                out |= side[some][:, None] == side[None, :]
-            agree[out] = 0
-            cut |= bool(((agree >= agreement).sum(1) > most).any())
-            best = np.argsort(-agree, 1, kind="stable")[:, :most]
-            good = np.take_along_axis(agree, best, 1) >= agreement
-            i, j = ids[np.repeat(some, good.sum(1))], ids[best[good]]
-            found.update(zip(np.minimum(i, j).tolist(), np.maximum(i, j).tolist(), strict=True))
-        if not found:
-            return empty
-        a, b = zip(*sorted(found), strict=True)
-        return pd.DataFrame({"bucket": members["bucket"].iloc[0], "x": x, "y": y, "a": a, "b": b, "cut": cut})
-
-    return search, f"bucket long, x int, y int, a {kind}, b {kind}, cut boolean"
-
-
-def _texts(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
-    """(id, text) of the documents in the pairs (a, b).
+def bags(texts: DataFrame) -> DataFrame:
+    """(id, bag): the multiset of each text (id, text) as distinct 64-bit elements, one for each occurrence of a shingle."""
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        b, offsets = W.buffers(batch.column(1))
+        doc, shingle, count = multisets(b, offsets)
+        ends = np.cumsum(count)
+        which = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count, count)
+        elements = W.mix(np.repeat(shingle, count) + which.astype(U) * U(0xD6E8FEB86659FD93))
+        at = np.concatenate([[0], np.cumsum(np.bincount(doc, weights=count, minlength=batch.num_rows))]).astype(np.int64) * 8
+        body = elements.tobytes()
+        return pa.record_batch({"id": batch.column(0), "bag": pa.array([body[i:j] for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())})
+
+    return over_batches(texts, make, f"id {kind}, bag binary")
+
+
+def common(elements: np.ndarray, owner: np.ndarray, n: int, rows: np.ndarray) -> np.ndarray:
+    """How many elements each of the members `rows` has in common with each of the n members."""
+    row = np.full(n, -1)
+    row[rows] = np.arange(len(rows))
+    out = np.zeros((len(rows), n), np.float32)
+    order = np.argsort(elements, kind="stable")
+    e, owner = elements[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], e[1:] != e[:-1]])) if len(e) else np.zeros(0, np.int64)
+    held = np.diff(np.append(first, len(e)))
+    size = np.repeat(held, held)
+    few = np.flatnonzero((size > 1) & (size <= RARE))
+    group = np.repeat(np.arange(len(first)), held)
+    for lo in range(0, len(few), 1 << 18):
+        some = few[lo : lo + (1 << 18)]
+        codes = []
+        for step in range(1, RARE):
+            a, b = some[some + step < len(e)], some[some + step < len(e)] + step
+            same = group[a] == group[b]
+            if not same.any():
+                break
+            i, j = owner[a[same]], owner[b[same]]
+            for p, q in ((i, j), (j, i)):
+                mine = row[p] >= 0
+                codes.append(row[p[mine]] * n + q[mine])
+        if codes:
+            out += np.bincount(np.concatenate(codes), minlength=out.size).reshape(out.shape)
+    many = np.flatnonzero(held > RARE)
+    for lo in range(0, len(many), 2048):
+        some = many[lo : lo + 2048]
+        at = np.concatenate([np.arange(first[g], first[g] + held[g]) for g in some])
+        has = np.zeros((n, len(some)), np.float32)
+        has[owner[at], np.repeat(np.arange(len(some)), held[some])] = 1
+        out += has[rows] @ has.T
+    return out
+
+
+def linked_classes(members: pa.Table, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(class, class it is linked to) of a cell's members (id, side, class, bag), by exact overlaps."""
+    found, cls = np.unique(members.column("class").to_numpy(zero_copy_only=False), return_inverse=True)
+    if len(found) < 2:
+        return found[:0], found[:0]
+    side = members.column("side").to_numpy()
+    parts = [np.frombuffer(x, U) for x in members.column("bag").to_pylist()]
+    weight = np.array([len(x) for x in parts])
+    rows = np.flatnonzero(cls != np.bincount(cls).argmax())
+    both = common(np.concatenate(parts), np.repeat(np.arange(len(parts)), weight), len(parts), rows)
+    near = both >= (similarity - 1e-12) * (weight[rows][:, None] + weight[None, :] - both)
+    near &= cls[rows][:, None] != cls[None, :]
+    if side.min() != side.max():  # each side's own pairs are another cell's
+        near &= side[rows][:, None] != side[None, :]
+    i, j = np.nonzero(near)
+    root = np.arange(len(found))
+    p, q = cls[rows[i]], cls[j]
+    while True:
+        low = np.minimum(root[p], root[q])
+        new = root.copy()
+        for end in (root[p], root[q], p, q):
+            np.minimum.at(new, end, low)
+        while (jump := new[new] != new).any():
+            new[jump] = new[new[jump]]
+        if (new == root).all():
+            break
+        root = new
+    changed = root != np.arange(len(found))
+    return found[changed], found[root[changed]]
+
+
+def _searched(of: DataFrame, docs: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
+    """Step 4: links (a, b) between classes; of: the members (bucket, id, class, weight) of buckets of more than two."""
+    kind = of.schema["id"].dataType.simpleString()
+    mixed = of.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
+    step = F.floor(F.log("weight") / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
+    dealt = of.join(mixed, "bucket", "left_semi").withColumn("own", step).withColumn("step", F.explode(F.array("own", F.col("own") - 1)))
+    group = ["bucket", "step"]
+    # two weights whose ratio is at least the similarity are in one step or in neighbours; a group without a member of its own step has no pair of its own
+    prints = [F.sum(F.xxhash64("id", F.lit(k)).cast("decimal(38,0)")).alias(f"ids{k}") for k in (1, 2)]
+    stats = dealt.groupBy(*group).agg(F.count("*").alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi"), F.max(F.col("own") == F.col("step")).alias("owns"), F.sum("weight").alias("shingles"), *prints)
+    stats = stats.where("lo <> hi and owns").groupBy("n", "ids1", "ids2").agg(F.min(F.struct(*group, "shingles")).alias("x")).select("x.*", "n")
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    cells = dealt.join(stats.select(*group, blocks.alias("blocks")), group).withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cells = saved(cells.select(*group, "id", "class", "blocks", "side"), "cells")
+    bag = saved(bags(_texts(docs, key, text, cells.select("id").distinct())), "bags")
+    cells = cells.join(bag, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*group, F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "id", "class", "bag")
+
+    def search(members: pa.Table) -> pa.Table:
+        a, b = linked_classes(members, similarity)
+        return pa.table({"a": pa.array(a), "b": pa.array(b)}).cast(pa.schema([("a", members.schema.field("class").type), ("b", members.schema.field("class").type)]))
+
+    return cells.groupBy(*group, "x", "y").applyInArrow(search, f"a {kind}, b {kind}")
+
+
+def _texts(docs: DataFrame, key: str, text: str, asked: DataFrame) -> DataFrame:
+    """(id, text) of the asked ids.
 
     A table of 2**20 hash values at most, so of a proven size, is broadcast
-    first; it keeps most other texts out of the shuffle while pairs are few.
+    first; it keeps most other texts out of the shuffle while ids are few.
     """
-    asked = saved(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "asked")
     bit = F.pmod(F.xxhash64("id"), F.lit(1 << 20)).cast("int")
     bits = F.broadcast(asked.select(bit.alias("bit")).distinct())
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn("bit", bit).join(bits, "bit", "left_semi").drop("bit")
-    return saved(texts.join(asked, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "texts")
+    return saved(texts.join(asked, "id", "left_semi").groupBy("id").agg(F.min_by("text", _hash("text")).alias("text")), "texts")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(key, class_id): documents whose texts a chain of similar texts connects share the smallest key among them."""
     kind = docs.schema[key].dataType.simpleString()
     sig = saved(signed(docs.where(F.col(key).isNotNull()), key, text), "signatures")
+    several = saved(sig.groupBy(key).agg(F.min("th").alias("th"), F.max("th").alias("other")).where("th <> other"), "clashes")
+    clashing = several.limit(1).count() > 0
+    mine = sig.join(several.select(key), key, "left_anti").unionByName(sig.join(several.select(key, "th"), [key, "th"], "left_semi")) if clashing else sig
     same = ["weight", "fp1", "fp2"]
-    reps = saved(sig.groupBy(*same).agg(F.min(key).alias("id"), F.min_by("bands", key).alias("bands"), F.min_by("signature", key).alias("signature")), "representatives")
-    member = reps.where("weight > 0").select("id", F.posexplode("bands").alias("band", "bucket"))
-    first = member.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    held = saved(member.join(first, "bucket"), "buckets")
-    star = held.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    signs = reps.select("id", "signature", "bands")
-    likely = star.join(signs.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b").join(signs.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a")
+    reps = mine.groupBy(*same).agg(F.min(key).alias("id"), F.min_by("bands", key).alias("bands"), F.min_by("signature", key).alias("signature"))
+    reps = saved(reps, "representatives")
+    member = reps.where("weight > 0").select("id", "weight", F.explode("bands").alias("bucket"))
+    prints = [F.sum(F.xxhash64("id", F.lit(k)).cast("decimal(38,0)")).alias(f"ids{k}") for k in (1, 2)]
+    first = member.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n"), *prints).where("n > 1")
+    first = first.groupBy("n", "first", "ids1", "ids2").agg(F.min("bucket").alias("bucket"))  # one bucket of each set of members
+    held = saved(member.join(first.select("bucket", "first", "n"), "bucket"), "buckets")
+    star = held.where("id <> first").groupBy(F.col("first").alias("a"), F.col("id").alias("b")).agg((F.min("n") == 2).alias("alone"))
+    signs = reps.select("id", "weight", "signature")
+    sides = [signs.select(F.col("id").alias(c), F.col("weight").alias(f"w{c}"), F.col("signature").alias(f"s{c}")) for c in ("a", "b")]
+    likely = star.join(sides[1], "b").join(sides[0], "a").where(F.least("wa", "wb") >= similarity * F.greatest("wa", "wb") - 1e-6)
 
     def agreeing(batch: pa.RecordBatch) -> pa.RecordBatch:
-        p, q = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (2, 3))
-        return pa.record_batch({"a": batch.column(0), "b": batch.column(1)}).filter(pa.array((p == q).mean(1) >= AGREEMENT))
+        p, q = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (3, 4))
+        good = ((p == q).mean(1) >= AGREEMENT) | batch.column(2).to_numpy(zero_copy_only=False)
+        return pa.record_batch({"a": batch.column(0), "b": batch.column(1)}).filter(pa.array(good))
 
-    pairs = saved(over_batches(likely.select("a", "b", "sa", "sb"), agreeing, f"a {kind}, b {kind}"), "pairs")
-    texts = _texts(docs, key, text, pairs)
+    pairs = saved(over_batches(likely.select("a", "b", "alone", "sa", "sb"), agreeing, f"a {kind}, b {kind}"), "pairs")
+    asked = saved(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "asked")
+    texts = _texts(docs, key, text, asked)
     links = saved(_verified(pairs, texts, similarity), "verified")
-    dropped(texts)
-    tested = every = None
+    dropped(texts, asked, pairs)
     roots = components(links)
-    for agreement in (AGREEMENT_BLOCKS, AGREEMENT):
-        most, held = 4, held if every is None else every
-        while True:
-            of = held.where("n > 2").drop("class").join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "band", "id", "first", "n", F.coalesce("root", "id").alias("class"))
-            of = saved(of, "members")
-            mixed = of.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-            held = saved(of.join(mixed, "bucket", "left_semi").select("bucket", "band", "id", "first", "n", "class"), "buckets")
-            every = held if every is None else every
-            of = held.join(signs, "id")
-            n = F.ceil(F.col("n") / BLOCK).cast("int")
-            own = F.pmod(F.xxhash64("id"), n).cast("int")
-            of = of.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "id", "first", "class", "signature", F.slice("bands", 1, F.col("band")).alias("before"))
-            search, schema = _blocks(kind, most, agreement)
-            spark = docs.sparkSession
-            done = tested if tested is not None else spark.createDataFrame([], schema)
-            cell = ["bucket", "x", "y"]
-            more = saved(of.groupBy(*cell).cogroup(done.groupBy(*cell)).applyInPandas(search, schema), "more")
-            if more.limit(1).count() == 0:
-                break
-            tested = more if tested is None else saved(tested.union(more), "tested")
-            pairs = saved(more.select("a", "b").distinct(), "pairs")
-            texts = _texts(docs, key, text, pairs)
-            links = saved(links.union(_verified(pairs, texts, similarity)), "verified")
-            dropped(texts)
-            roots = components(links)
-            again = saved(more.where("cut").select("bucket").distinct(), "again")
-            if again.limit(1).count() == 0:
-                break
-            held = held.join(again, "bucket", "left_semi")
-            most *= 4
+    of = held.where("n > 2").join(roots.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "weight", F.coalesce("root", "id").alias("class"))
+    more = saved(_searched(saved(of, "members"), docs, key, text, similarity), "more")
+    roots = components(links.union(more)) if more.limit(1).count() else roots
     rooted = reps.select("id", *same).join(roots.withColumnRenamed("node", "id"), "id", "left").select(*same, F.coalesce("root", "id").alias("class_id"))
-    return sig.select(key, *same).join(rooted, same).select(key, "class_id")
+    out = mine.select(key, *same).join(rooted, same).select(key, "class_id")
+    return sig.select(key).join(out.distinct(), key) if clashing else out
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each class, with all its columns; documents without a key stay."""
     kept = classes(docs, key, text).where(F.col(key) == F.col("class_id")).select(key).distinct()
-    return docs.join(kept, key, "left_semi").dropDuplicates([key]).unionByName(docs.where(F.col(key).isNull())).select(docs.columns)
+    row = F.struct(*(F.col(c) for c in docs.columns))
+    one = docs.join(kept, key, "left_semi").groupBy(F.col(key).alias("__key")).agg(F.min_by(row, F.struct(_hash(text), F.xxhash64(*docs.columns))).alias("__row")).select("__row.*")
+    return one.unionByName(docs.where(F.col(key).isNull())).select(docs.columns)
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
