@@ -1,198 +1,103 @@
 """Language-model scores by a weighted backoff automaton of smoothed n-grams.
 
-Tokens are lower-cased words and one end per text. States are the words that
-training text holds, and a root. An arc (u, w) exists if training text holds the
-pair; it weighs log10 (c(u,w) + k p(w)) / (c(u) + k), where p(w) is the add-one
-unigram probability. Every other word takes the failure arc of u, which weighs
-log10 k / (c(u) + k), to the root, and the root's arc log10 p(w); a word that is
-no state leads to the root. So each state's weights sum to one. One pass from
-left to right carries the state and adds the weights up.
-
-Counting and lookup: texts are dealt by a hash of the key to blocks of about
-BLOCK_BYTES. A block sends its distinct unigrams and pairs, as sorted, packed
-64-bit hashes with training counts, to shards of the hash range; a shard adds
-the counts up and replies with totals in the order asked; a block then traverses
-its texts with the totals of its own n-grams. Shards and blocks grow in number
-with the input, never in size, and a frequent n-gram is one row per block.
-
-Defined cases: null text is an empty text, of which only the end is scored;
-null keys count as training rows of one block; repeated rows count and score
-each; without training text each token weighs log10 1; an empty table gives an
-empty table; further columns are left out.
+Tokens are lower-cased words and one end per text. States are the pairs of words
+and the words that training text holds, and a root. The state (u, v) has an arc
+to (v, w) for each w that training text holds behind the pair; it weighs log10
+(c(u,v,w) + k p(w|v)) / (c(u,v) + k). For every other word its failure arc, of
+weight log10 k / (c(u,v) + k), leads to the state (v), which has arcs and a
+failure arc to the root in the same way; the root's arcs weigh the add-one log10
+p(w), and a word that is no state leads back to the root. So each state's weights
+sum to one. One pass from left to right carries the state, which is the longest
+known end of what was read, and adds the weights of the arcs that it takes up.
+
+Counts come from the whole training corpus by the exchange of ngrams.py: blocks
+of texts send their n-grams to shards and traverse with the totals they get back.
+Shards and blocks grow in number with the input, never in size.
+
+Defined cases: null text is an empty text, of which only the end is scored; null
+keys are rows like others, trained on unless `train` is false for them; repeated
+rows count and score each; without training text each token weighs log10 1 / (N +
+V + 1) = 0; an empty table gives an empty table; further columns are left out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import words as W
-from .common import arrow_limits, crc32_mod, table
+from . import ngrams as G
+from .common import crc32_mod, table
 
-BLOCK_BYTES, SHARD_KEYS = 12 << 20, 1_500_000
-CONCENTRATION = 64.0
-U = W.U64
-_START, _END = U(0x5353_0000_AAAA_0001), U(0xE1E1_0000_BBBB_0001)
+ORDER = 3
+#: The k of pairs' and of triples' states.
+CONCENTRATION = (64.0, 4.0)
+#: Distinct n-grams of a block in a byte of text.
+KEYS_PER_BYTE = 0.25
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Bytes of whole numbers, plane by plane, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes())
+def traverse(first: np.ndarray, counts: Sequence[np.ndarray], texts: int, n: int, v: int, k: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
+    """(root weight, automaton weight) of each token. counts: for each order, those of the n-gram that ends in the token; texts begin at `first`.
 
+    The state before a token is what the n-gram before it leads to, so its
+    visits are that n-gram's count. States that training text doesn't hold have
+    no visits: their failing weighs nothing, as the state is then a shorter one.
+    """
+    root = np.log10((counts[0] + 1.0) / (n + v + 1.0))
+    weight = root
+    for below, arc, concentration in zip(counts, counts[1:], k, strict=False):
+        visits = np.empty(len(arc))
+        visits[1:] = below[:-1]
+        visits[first[:-1]] = texts
+        failing = np.log10(concentration / (visits + concentration))
+        taken = np.log10((arc + concentration * 10**weight) / (visits + concentration))
+        weight = np.where(arc > 0, taken, failing + weight)
+    return root, weight
 
-def unpack(data: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
-
-def token_stream(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of all texts, an end behind each, and the n + 1 places where texts begin."""
-    w = W.words(*W.buffers(column), fold=True)
-    n = len(w.first) - 1
-    first = w.first + np.arange(n + 1)
-    out = np.empty(len(w.hash) + n, U)
-    out[np.arange(len(w.hash)) + w.doc] = w.hash
-    out[first[1:] - 1] = _END
-    return out, first
-
-
-def unigram_keys(tokens: np.ndarray) -> np.ndarray:
-    return W.mix(tokens) & ~U(1)
-
-
-def pair_keys(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[first[:-1]] = _START
-    return W.mix(before * U(0xC2B2AE3D27D4EB4F) + tokens) | U(1)
-
-
-def counted(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, sorted, and the sum of their weights."""
-    order = np.argsort(keys)
-    keys = keys[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    at = np.flatnonzero(new)
-    return keys[at], np.add.reduceat(weights[order].astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
-
-
-def _shards(keys: np.ndarray, bits: int) -> np.ndarray:
-    """Bounds of the shards (equal parts of the hash range) in sorted keys."""
-    return np.searchsorted(keys >> U(64 - bits), np.arange((1 << bits) + 1, dtype=U)) if bits else np.array([0, len(keys)])
-
-
-def _sent(keys: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[tuple[int, bytes, bytes]]:
-    at = _shards(keys, bits)
-    for s in range(1 << bits):
-        part = keys[at[s] : at[s + 1]]
-        if len(part):
-            yield s, pack(np.diff(part, prepend=U(0))), pack(counts[at[s] : at[s + 1]].astype(np.uint32))
-
-
-def _keys_of(table_: pa.Table) -> tuple:
-    column = table_.column("text").combine_chunks()
-    tokens, first = token_stream(column)
-    uni, pair = unigram_keys(tokens), pair_keys(tokens, first)
-    weight = np.repeat(table_.column("train").to_numpy(), np.diff(first))
-    return first, uni, pair, weight
-
-
-def vocabulary(docs: DataFrame, bits: int) -> tuple[int, int]:
-    """Training tokens N and distinct training tokens V; docs: (text, train)."""
-    arrow_limits(docs.sparkSession)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def out() -> pa.RecordBatch:
-            keys = np.unique(np.concatenate(held))
-            n = sum(map(len, held))
-            rows = list(_sent(keys, np.zeros(len(keys)), bits))
-            return pa.record_batch({"shard": pa.array([r[0] for r in rows], pa.int32()), "keys": pa.array([r[1] for r in rows], pa.binary()), "n": pa.array([n, *[0] * (len(rows) - 1)], pa.int64())})
-
-        for batch in batches:
-            tokens, first = token_stream(batch.column(0))
-            keep = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(first))
-            if keep.any():
-                held.append(unigram_keys(tokens[keep]))
-            if sum(map(len, held)) > 4_000_000:
-                yield out()
-                held.clear()
-        if held:
-            yield out()
-
-    def distinct(t: pa.Table) -> pa.Table:
-        keys = np.unique(np.concatenate([np.cumsum(unpack(x, U), dtype=U) for x in t.column("keys").to_pylist()]))
-        return pa.table({"v": pa.array([len(keys)], pa.int64()), "n": pa.array([sum(t.column("n").to_pylist())], pa.int64())})
-
-    sent = docs.select("text", "train").mapInArrow(send, "shard int, keys binary, n long")
-    row = sent.groupBy("shard").applyInArrow(distinct, "v long, n long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    return int(row[0]), int(row[1])
-
-
-def traverse(first: np.ndarray, word: np.ndarray, arc: np.ndarray, texts: int, n: int, v: int, k: float) -> tuple[np.ndarray, np.ndarray]:
-    """(root weight, automaton weight) of each token. word: the tokens' counts; arc: counts of the pairs that end in them; texts begin at `first`."""
-    root = (word + 1.0) / (n + v + 1.0)
-    state = np.empty(len(word))  # how often training text visits the state before each token
-    state[1:] = word[:-1]
-    state[first[:-1]] = texts
-    return np.log10(root), np.log10((arc + k * root) / (state + k))
-
-
-def scored(docs: DataFrame, train: F.Column, key: str = "doc_id", text: str = "text", concentration: float = CONCENTRATION) -> DataFrame:
+def scored(docs: DataFrame, train: F.Column, key: str = "doc_id", text: str = "text", concentration: Sequence[float] = CONCENTRATION) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of each text, learnt from the rows where `train` holds."""
-    spark = docs.sparkSession
-    arrow_limits(spark)
+    order = len(concentration) + 1
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(train, F.lit(True)).alias("train"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_texts = rows.where("train").count()
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    bits = max(0, int(np.ceil(np.log2(max(1, size * 0.14 / SHARD_KEYS)))))  # about 0.14 distinct n-grams of a block in a byte
-    n, v = vocabulary(rows, bits)
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
+    size, n_texts = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if("train")).first()
+    layout = G.Layout(size, range(1, order + 1), KEYS_PER_BYTE)
+    n, v = G.vocabulary(rows)
+    dealt, leaf = G.dealt(rows, layout.blocks), G.summed(order)
+
+    def keys_of(t: pa.Table) -> tuple[pa.Table, np.ndarray, list[np.ndarray], np.ndarray]:
+        t = G.opened(t)
+        tokens, first = G.token_stream(t.column("text"))
+        return t, first, G.grams(tokens, first, order, layout.width), np.repeat(t.column("train").to_numpy(), np.diff(first))
 
     def ask(t: pa.Table) -> pa.Table:
-        _, uni, pair, weight = _keys_of(t)
-        keys, counts = counted(np.concatenate([uni, pair]), np.concatenate([weight, weight]))
-        rows_ = list(_sent(keys, counts, bits))
-        return pa.table({"shard": pa.array([r[0] for r in rows_], pa.int32()), "block": pa.array([t.column("block")[0].as_py()] * len(rows_), pa.int32()), "keys": pa.array([r[1] for r in rows_], pa.binary()), "counts": pa.array([r[2] for r in rows_], pa.binary())})
-
-    def total(t: pa.Table) -> pa.Table:
-        keys = [np.cumsum(unpack(x, U), dtype=U) for x in t.column("keys").to_pylist()]
-        all_, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(inverse, weights=np.concatenate([unpack(x, np.uint32) for x in t.column("counts").to_pylist()]), minlength=len(all_)).astype(np.int64)
-        ends = np.cumsum([len(x) for x in keys])
-        replies = [pack(sums[inverse[e - len(x) : e]]) for x, e in zip(keys, ends, strict=True)]
-        return pa.table({"block": t.column("block"), "shard": t.column("shard"), "totals": pa.array(replies, pa.binary())})
+        _, _, grams, weight = keys_of(t)
+        keys, counts = zip(*(G.counted(g, weight) for g in grams), strict=True)
+        return G.first_frames(t.column("block")[0].as_py(), list(keys), list(counts), layout)
 
     def score(replies: pa.Table, t: pa.Table) -> pa.Table:
-        first, uni, pair, _ = _keys_of(t)
-        keys = np.unique(np.concatenate([uni, pair]))
-        by_shard = sorted(zip(replies.column("shard").to_pylist(), replies.column("totals").to_pylist(), strict=True))
-        totals = np.concatenate([unpack(x, np.int64) for _, x in by_shard])
-        word, arc = totals[np.searchsorted(keys, uni)], totals[np.searchsorted(keys, pair)]
-        base, best = traverse(first, word, arc, n_texts, n, v, concentration)
+        t, first, grams, _ = keys_of(t)
+        counts = []
+        for g, total in zip(grams, G.gathered(replies, leaf[1]), strict=True):
+            counts.append(total[np.searchsorted(np.unique(g), g)])
+        base, best = traverse(first, counts, n_texts, n, v, concentration)
         at = first[:-1]
         return pa.table(
             {
                 "key": t.column("key"),
                 "n_tokens": pa.array(np.diff(first)),
-                "n_known": pa.array(np.add.reduceat((word > 0).astype(np.int64), at)),
+                "n_known": pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), at)),
                 "train_tokens": pa.array(np.full(len(at), n)),
                 "base_score": pa.array(np.add.reduceat(base, at)),
                 "score": pa.array(np.add.reduceat(best, at)),
             }
         )
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "shard int, block int, keys binary, counts binary")
-    replied = asked.groupBy("shard").applyInArrow(total, "block int, shard int, totals binary")
+    asked = dealt.groupBy("block").applyInArrow(ask, f"block long, shard long, {G.FRAME}")
+    replied = G.exchanged(asked, layout, leaf)
     out = replied.groupBy("block").cogroup(dealt.groupBy("block")).applyInArrow(score, f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("key", key)
 
