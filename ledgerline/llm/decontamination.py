@@ -20,10 +20,16 @@ document, as other numbers or names in a row are nothing of the item.
 Benchmark windows are broadcast as hashes only while there are fewer than
 BROADCAST_WINDOWS; beyond, all document windows take part in a shuffled join.
 
-Defined cases: null text is an empty text; items of fewer than five tokens have
-one window, the whole item; repeated rows count once for each (document, item);
-ties keep every item; empty tables give no pairs; further columns pass through
-cleaned().
+Windows of nothing but slots would join every table of numbers with every other.
+So they are compared only between a document and an item that also share a window
+with a word, or five such values in a row.
+
+Defined cases: null text is an empty text; items of three or four tokens are
+found verbatim anywhere, of one or two only as a whole text, as so few words are
+no template; items without tokens are in no document; rows with a null key or
+item are in no pair, and stay in cleaned(); repeated rows count once for each
+(document, item); ties keep every item; empty tables give no pairs; further
+columns pass through cleaned().
 """
 
 from __future__ import annotations
@@ -37,6 +43,8 @@ from . import words as W
 from .common import over_batches, saved, table
 
 WINDOW, COVERAGE_PERCENT = 5, 50
+#: Items of at least so many tokens, but fewer than a window's, are found as verbatim parts of texts; shorter ones as whole texts.
+SHORTEST = 3
 #: 8 bytes each: 16 MB at most are sent to the executors.
 BROADCAST_WINDOWS = 2_000_000
 #: Units that become slots behind a number.
@@ -74,8 +82,8 @@ class Tokens:
             for s, e in cuts:
                 if e > s:
                     parts.append(self._part(b[s:e], offsets[i:j] - s, s))
-        empty = (np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int8), np.zeros(0, np.int64))
-        self.hash, self.plain, self.slot, start = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else empty
+        empty = (np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int8), np.zeros(0, bool), np.zeros(0, np.int64))
+        self.hash, self.plain, self.slot, self.capital, start = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else empty
         self.first = np.searchsorted(start, offsets)
         self.start, self.offsets = start, offsets
 
@@ -90,7 +98,7 @@ class Tokens:
         inner[firsts] = False
         s, e = W._spans(word | inner, firsts)
         if not len(s):
-            return np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int8), s
+            return np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int8), np.zeros(0, bool), s
         plain = W.span_hash(W.prefix_hash(b, True), s, e)
         h = plain.copy()
         slot = np.zeros(len(s), np.int8)
@@ -113,54 +121,89 @@ class Tokens:
             unit &= units[k] == plain
         for kind, where, value in ((1, number, _NUMBER), (2, name & ~unit, _NAME), (3, unit, _UNIT)):
             h[where], slot[where] = value, kind
-        return h, plain, slot, s + at
-
-    def windows(self, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window hash, document, index of the first token in the document); short documents have one window."""
-        w = W.Words(self.hash, self.start, self.start, self.first)
-        h, at = W.windows(w, size)
-        doc = w.doc[at]
-        place = at - self.first[doc]
-        few = np.flatnonzero((w.counts > 0) & (w.counts < size))
-        if len(few):
-            x = np.array([_chain(self.hash[self.first[d] : self.first[d + 1]]) for d in few], U)
-            h, doc, place = np.concatenate([h, W.mix(x)]), np.concatenate([doc, few]), np.concatenate([place, np.zeros(len(few), np.int64)])
-        return h, doc, place
-
-
-def _chain(hs: np.ndarray) -> int:
-    x = len(hs)
-    for h in hs.tolist():
-        x = (x * 0xC2B2AE3D27D4EB4F + h) & (2**64 - 1)
-    return x
+        return h, plain, slot, _UPPER[b[s]], s + at
 
+    def windows(self, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+        """Template hashes of the windows of `size` tokens, and each one's first token."""
+        return W.windows(W.Words(self.hash, self.start, self.start, self.first), size)
 
-def _windowed(df: DataFrame, key: str, text: str, keep: object) -> DataFrame:
-    """(id, h, place, slots): windows of each text, all or those whose hash is among `keep`. slots: 5 values, 0 where a token is no slot."""
+    def verbatim(self, size: int, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The same without slots. whole: only of texts that have no other tokens."""
+        w = W.Words(self.plain, self.start, self.start, self.first)
+        h, at = W.windows(w, size)
+        if whole:
+            alone = np.repeat(w.counts == size, w.counts)[at]
+            h, at = h[alone], at[alone]
+        return W.mix(h ^ U(size)), at
+
+    def opened_by_names(self) -> Tokens:
+        """The same texts, with a capitalised first token as a name, as which it counts where the text stands inside a sentence."""
+        other = object.__new__(Tokens)
+        other.plain, other.capital, other.start, other.first, other.offsets = self.plain, self.capital, self.start, self.first, self.offsets
+        other.hash, other.slot = self.hash.copy(), self.slot.copy()
+        begin = self.first[:-1][np.diff(self.first) > 0]
+        begin = begin[self.capital[begin] & (self.slot[begin] == 0)]
+        other.hash[begin], other.slot[begin] = _NAME, 2
+        return other
+
+
+def _windowed(df: DataFrame, key: str, text: str, keep: object, short: tuple[int, ...] | None) -> DataFrame:
+    """(id, size, h, v, place, slots): windows of each text, all or those whose h is among `keep`.
+
+    Windows of five tokens have their template's hash as h; v is the verbatim
+    hash of one that has no word outside slots, and null else. slots: the five
+    values, 0 where a token is no slot. Items (short is None) of fewer tokens
+    have their verbatim hash as h; documents have those of `short` sizes, of
+    SHORTEST tokens anywhere, of fewer as a whole text.
+    """
     kind = df.schema[key].dataType.simpleString()
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         t = Tokens(batch.column(1))
-        h, doc, place = t.windows()
-        if keep is not None:
-            known = keep.value
-            if not len(known):
-                return None
-            k = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            hit = known[k] == h
-            h, doc, place = h[hit], doc[hit], place[hit]
-        at = t.first[doc] + place
-        n = len(t.hash)
-        slots = np.zeros((len(h), WINDOW), np.int64)
-        for i in range(WINDOW):
-            j = np.minimum(at + i, max(n - 1, 0))
-            inside = at + i < t.first[doc + 1]
-            if n:
-                slots[:, i] = np.where(inside & (t.slot[j] > 0), t.plain[j].view(np.int64), 0)
+        five = [(t, *t.windows())]
+        if short is None:
+            other = t.opened_by_names()
+            h, at = other.windows()
+            changed = (other.slot != t.slot)[at]
+            five.append((other, h[changed], at[changed]))
+        parts = []
+        for tokens, h, at in five:
+            if keep is not None:
+                hit = _known(keep.value, h)
+                h, at = h[hit], at[hit]
+            slot = tokens.slot[at[:, None] + np.arange(WINDOW)] > 0
+            plain = t.plain[at[:, None] + np.arange(WINDOW)]
+            v = np.zeros(len(h), U)
+            for i in range(WINDOW):
+                v = W.mix(v * U(0xC2B2AE3D27D4EB4F) + plain[:, i])
+            parts.append((np.full(len(h), WINDOW), h, v, slot.all(1), at, np.where(slot, plain.view(np.int64), 0)))
+        for size in range(1, WINDOW) if short is None else short:
+            h, at = t.verbatim(size, whole=short is None or size < SHORTEST)
+            if keep is not None:
+                hit = _known(keep.value, h)
+                h, at = h[hit], at[hit]
+            parts.append((np.full(len(h), size), h, h, np.zeros(len(h), bool), at, np.zeros((len(h), WINDOW), np.int64)))
+        size, h, v, only, at, slots = (np.concatenate(x) for x in zip(*parts, strict=True))
+        doc = np.searchsorted(t.first, at, side="right") - 1
         flat = pa.ListArray.from_arrays(pa.array(np.arange(0, len(h) * WINDOW + 1, WINDOW, dtype=np.int32)), pa.array(slots.reshape(-1)))
-        return pa.record_batch({"id": batch.column(0).take(pa.array(doc)), "h": pa.array(h.view(np.int64)), "place": pa.array(place), "slots": flat})
+        return pa.record_batch(
+            {
+                "id": batch.column(0).take(pa.array(doc)),
+                "size": pa.array(size.astype(np.int32)),
+                "h": pa.array(h.view(np.int64)),
+                "v": pa.array(v.view(np.int64), mask=~only),
+                "place": pa.array(at - t.first[doc]),
+                "slots": flat,
+            }
+        )
+
+    return over_batches(df.select(F.col(key).alias("id"), F.col(text).alias("text")), make, f"id {kind}, size int, h long, v long, place long, slots array<long>")
+
 
-    return over_batches(df.select(key, text), make, f"id {kind}, h long, place long, slots array<long>")
+def _known(known: np.ndarray, h: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(h), bool)
+    return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
 
 
 def _slots_met(item_slots: np.ndarray, doc_slots: np.ndarray) -> int:
@@ -239,24 +282,33 @@ def _consistent(batch: pa.RecordBatch, coverage: int) -> pa.RecordBatch:
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text", coverage: int = COVERAGE_PERCENT) -> DataFrame:
     """(key, item, n_windows, item_windows, n_slots): the documents' leaked items."""
     spark = docs.sparkSession
-    items = saved(_windowed(benchmark.where(F.col(item).isNotNull()), item, text, None).withColumnRenamed("id", item), "items")
-    sizes = items.groupBy(item).agg(F.countDistinct("place").alias("item_windows"))
+    items = saved(_windowed(benchmark.where(F.col(item).isNotNull()), item, text, None, None).withColumnRenamed("id", "item"), "items")
+    sizes = items.groupBy("item").agg(F.countDistinct("place").alias("item_windows"))
     keep = None
     if items.count() < BROADCAST_WINDOWS:
         hashes = np.unique(np.array([r[0] for r in items.select("h").distinct().collect()], np.int64).view(U))
         keep = spark.sparkContext.broadcast(hashes)
-    mine = _windowed(docs.where(F.col(key).isNotNull()), key, text, keep).withColumnRenamed("id", key)
-    met = mine.select(key, "h", F.col("place").alias("doc_place"), F.col("slots").alias("doc_slots")).join(items.select(item, "h", "place", F.col("slots").alias("item_slots")), "h")
-    # aligned: the copy's shift between item and document; a few inserted words move it, so shifts are pooled by 8
+    short = tuple(sorted(r[0] for r in items.where(F.col("size") < WINDOW).select("size").distinct().collect()))  # at most four
+    mine = saved(_windowed(docs.where(F.col(key).isNotNull()), key, text, keep, short), "windows").withColumnsRenamed({"id": "doc", "place": "doc_place", "slots": "doc_slots"})
+    theirs = items.select("item", "h", "v", "place", F.col("slots").alias("item_slots"))
+    words = mine.where("v is null").drop("size", "v").join(theirs.where("v is null").drop("v"), "h").drop("h")
+    # windows of nothing but slots are alike in all tables of numbers: they are compared where words or the same values met
+    slots_only, their_slots = mine.where("v is not null"), theirs.where("v is not null")
+    same = slots_only.select("doc", "v").distinct().join(their_slots.select("item", "v").distinct(), "v").select("doc", "item")
+    pairs = words.select("doc", "item").union(same).distinct()
+    slots_met = slots_only.drop("size", "v").join(pairs, "doc").join(their_slots.drop("v"), ["item", "h"]).select(*words.columns)
+    met = words.unionByName(slots_met)
+    # aligned: the copy's shift between item and document; a few inserted words move it, so shifts are pooled by 8.
+    # A pool holds at most 16 windows of a document for each of the item.
     met = met.withColumn("shift", F.floor((F.col("doc_place") - F.col("place")) / 8))
-    per = met.groupBy(key, item, "shift").agg(F.collect_set(F.struct("place", "doc_place", "item_slots", "doc_slots")).alias("hits"))
-    both = per.select(key, item, F.explode(F.array("shift", F.col("shift") + 1)).alias("shift"), "hits")
-    pooled = both.groupBy(key, item, "shift").agg(F.flatten(F.collect_list("hits")).alias("hits")).join(sizes, item)
+    per = met.groupBy("doc", "item", "shift").agg(F.collect_set(F.struct("place", "doc_place", "item_slots", "doc_slots")).alias("hits"))
+    both = per.select("doc", "item", F.explode(F.array("shift", F.col("shift") + 1)).alias("shift"), "hits")
+    pooled = both.groupBy("doc", "item", "shift").agg(F.flatten(F.collect_list("hits")).alias("hits")).join(sizes, "item")
     enough = pooled.where(100 * F.size(F.array_distinct("hits.place")) >= coverage * F.col("item_windows"))
-    kinds = ", ".join(f"`{c}` {enough.schema[c].dataType.simpleString()}" for c in (key, item))
-    good = over_batches(enough.select(key, item, "item_windows", "hits"), lambda batch: _consistent(batch, coverage), f"{kinds}, item_windows long, n_windows long, n_slots long")
-    best = good.groupBy(key, item).agg(F.max("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"), F.max("n_slots").alias("n_slots"))
-    return best.select(key, item, "n_windows", "item_windows", "n_slots")
+    kinds = ", ".join(f"{c} {enough.schema[c].dataType.simpleString()}" for c in ("doc", "item"))
+    good = over_batches(enough.select("doc", "item", "item_windows", "hits"), lambda batch: _consistent(batch, coverage), f"{kinds}, item_windows long, n_windows long, n_slots long")
+    best = good.groupBy("doc", "item").agg(F.max("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"), F.max("n_slots").alias("n_slots"))
+    return best.select(F.col("doc").alias(key), F.col("item").alias(item), "n_windows", "item_windows", "n_slots")
 
 
 def cleaned(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
