@@ -4,8 +4,8 @@ A line's quote level is its number of leading `>` marks. Level-0 lines are a
 message's own words. Each quoted line, stripped of marks, lowered and with white
 space collapsed, is hashed and meets the latest earlier message of its
 conversation that has this line as its own. A message replies to the message
-that most of its level-1 lines come from (the later of equals), or else to the
-message before it. Conversations are built in reply order without quotes: a
+that most of its quoted lines come from (the later of equals), of the shallowest
+quote level that meets any, or else to the message before it. Conversations are built in reply order without quotes: a
 reply stands behind the message it quotes, before what follows that one.
 
 Quotes and originals meet in one ordered pass over each (conversation, line), so
@@ -28,6 +28,43 @@ from .common import saved, table
 
 _MARKS = r"^(\s*>)+"
 
+#: The same rows by DuckDB, with the lines themselves instead of hashes.
+ORACLE = r"""
+WITH RECURSIVE lines AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text, row_number() OVER () AS msg, string_split(coalesce(text, ''), chr(10)) AS ls
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), line AS (
+  SELECT conv_id, turn, msg, pos, l, length(regexp_replace(regexp_extract(l, '^([ \t\n\x0b\f\r]*>)+'), '[ \t\n\x0b\f\r]', '', 'g')) AS level,
+    trim(regexp_replace(lower(regexp_replace(l, '^([ \t\n\x0b\f\r]*>)+', '')), '[ \t\n\x0b\f\r]+', ' ', 'g'), ' ') AS normal
+  FROM (SELECT conv_id, turn, msg, unnest(ls) AS l, generate_subscripts(ls, 1) AS pos FROM lines)
+), message AS (
+  SELECT m.conv_id, m.turn, m.role, m.msg, trim(coalesce(string_agg(l.l, chr(10) ORDER BY l.pos) FILTER (level = 0), ''), ' ') AS body,
+    count(*) FILTER (level > 0 AND normal <> '') AS n_quotes, coalesce(max(level) FILTER (level > 0 AND normal <> ''), 0) AS max_level
+  FROM lines m JOIN line l USING (msg) GROUP BY ALL
+), own AS (SELECT DISTINCT conv_id, turn, normal FROM line WHERE level = 0 AND normal <> ''),
+met AS (
+  SELECT q.conv_id, q.turn, q.level, (SELECT max(o.turn) FROM own o WHERE o.conv_id = q.conv_id AND o.normal = q.normal AND o.turn < q.turn) AS origin
+  FROM line q WHERE q.level > 0 AND q.normal <> ''
+), link AS (
+  SELECT conv_id, turn, arg_max(origin, [-level, n, origin]) AS quoted
+  FROM (SELECT conv_id, turn, level, origin, count(*) AS n FROM met WHERE origin IS NOT NULL GROUP BY ALL) GROUP BY ALL
+), turns AS (
+  SELECT *, previous IS NULL OR (quoted IS NOT NULL AND quoted <> previous) AS opens
+  FROM (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS previous FROM (SELECT DISTINCT conv_id, turn FROM lines)) LEFT JOIN link USING (conv_id, turn)
+), runs AS (
+  SELECT *, max(CASE WHEN opens THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM turns
+), path AS (
+  SELECT conv_id, run, [] :: BIGINT[] AS path FROM runs WHERE previous IS NULL
+  UNION ALL
+  SELECT r.conv_id, r.run, list_concat(p.path, [r.quoted, r.run])
+  FROM runs r JOIN runs a ON a.conv_id = r.conv_id AND a.turn = r.quoted JOIN path p ON p.conv_id = a.conv_id AND p.run = a.run
+  WHERE r.opens AND r.previous IS NOT NULL
+)
+SELECT m.conv_id, row_number() OVER (PARTITION BY m.conv_id ORDER BY list_append(p.path, m.turn), m.role NULLS FIRST, m.body) AS position, m.turn, m.role, m.body,
+  coalesce(r.quoted, r.previous) AS parent, m.n_quotes, m.max_level
+FROM message m JOIN runs r USING (conv_id, turn) JOIN path p ON p.conv_id = r.conv_id AND p.run = r.run
+"""
+
 
 def _normal(line: F.Column) -> F.Column:
     return F.trim(F.regexp_replace(F.lower(F.regexp_replace(line, _MARKS, "")), r"\s+", " "))
@@ -55,14 +92,16 @@ def parsed(messages: DataFrame) -> DataFrame:
 def linked(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, parent): the message that each quoting turn replies to."""
     p = parsed(messages)
-    quotes = p.where(F.size("quotes") > 0).select("conv_id", "turn", F.explode("quotes").alias("q")).where("q.level = 1").select("conv_id", "turn", F.col("q.h").alias("h"))
+    quotes = p.where(F.size("quotes") > 0).select("conv_id", "turn", F.explode("quotes").alias("q")).select("conv_id", "turn", F.col("q.h").alias("h"), F.col("q.level").alias("level"))
     asked = quotes.select("conv_id", "h").distinct()
     own = p.select("conv_id", "turn", F.explode("own").alias("h")).join(asked, ["conv_id", "h"], "left_semi").distinct()
-    both = own.select("conv_id", "h", "turn", F.col("turn").alias("origin"), F.lit(False).alias("asks")).union(quotes.select("conv_id", "h", "turn", F.lit(None).cast("long"), F.lit(True)))
+    both = own.select("conv_id", "h", "turn", F.col("turn").alias("origin"), F.lit(None).cast("int").alias("level")).union(quotes.select("conv_id", "h", "turn", F.lit(None).cast("long"), "level"))
     before = Window.partitionBy("conv_id", "h").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    met = both.withColumn("origin", F.when(F.col("asks"), F.max("origin").over(before))).where("asks and origin is not null")
-    votes = met.groupBy("conv_id", "turn", "origin").agg(F.count("*").alias("n"))
-    return votes.groupBy("conv_id", "turn").agg(F.max(F.struct("n", "origin")).alias("best")).select("conv_id", "turn", F.col("best.origin").alias("parent"))
+    asks = F.col("level").isNotNull()
+    met = both.withColumn("origin", F.when(asks, F.max("origin").over(before))).where(asks & F.col("origin").isNotNull())
+    votes = met.groupBy("conv_id", "turn", "level", "origin").agg(F.count("*").alias("n"))
+    best = F.max(F.struct((-F.col("level")).alias("depth"), "n", "origin"))
+    return votes.groupBy("conv_id", "turn").agg(best.alias("best")).select("conv_id", "turn", F.col("best.origin").alias("parent"))
 
 
 def formatted(messages: DataFrame) -> DataFrame:

@@ -1,32 +1,35 @@
 """Quality rules as a short-circuit cascade.
 
-Every rule has a batch feature and a limit. On a bounded sample each rule's
-cost (seconds a document) and selectivity (share it rejects) are measured;
-rules then run in the order of rejections per cost, and a rule sees only the
-documents that all rules before it kept. The order changes the cost alone:
-a document is kept if no rule rejects it, in whatever order.
+Every rule compares measures of a text. On a bounded sample the cost of each
+measure (seconds a document) and each rule's rejections are noted; the next rule
+is always the one with the most rejections, among the documents that the rules
+before it kept, per cost of the measures that those didn't make. A rule sees only
+the documents that all rules before it kept. The order changes the cost alone: a
+document is kept if no rule rejects it, in whatever order.
 
 Defined cases: null text is an empty text; a text without words has zero for
 each measure and is rejected by the base check (fewer than 20 words); ties in
 rejection per cost keep the rules' given order; repeated rows are judged row
-by row; an empty table gives an empty table; further columns pass through.
+by row; an empty table gives an empty table; further columns pass through keep();
+judged() adds a `_` to a column of its own that is named like the key.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from . import words as W
-from .common import over_batches, table
+from .common import arrow_limits, over_batches, table
 
-#: Documents of the sample on which cost and selectivity are measured.
-SAMPLE_DOCS = 1000
+#: Documents of the sample on which cost and selectivity are measured, and the partitions that they come from.
+SAMPLE_DOCS, SAMPLE_PARTITIONS = 1000, 50
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = b"#*$%&|<>"
 
@@ -203,9 +206,55 @@ RULES = (
 )
 
 
+class Timed(Batch):
+    """A batch that notes how long each measure took by itself, and which others it used."""
+
+    def __init__(self, b: np.ndarray, offsets: np.ndarray):
+        super().__init__(b, offsets)
+        self.seconds: dict[str, float] = {}
+        self.uses: dict[str, set[str]] = {}
+        self._open: list[tuple[str, float]] = []
+
+    def _note(self, name: str, make: Callable[[], object]) -> object:
+        for above, _ in self._open[-1:]:
+            self.uses.setdefault(above, set()).add(name)
+        if name in self._have:
+            return self._have[name]
+        self._open.append((name, 0.0))
+        began = time.perf_counter()
+        out = make()
+        took = time.perf_counter() - began
+        _, inner = self._open.pop()
+        self.seconds[name] = took - inner
+        if self._open:
+            above, before = self._open[-1]
+            self._open[-1] = (above, before + took)
+        return out
+
+    def get(self, name: str) -> np.ndarray:
+        return self._note(name, lambda: Batch.get(self, name))
+
+    @property
+    def words(self) -> W.Words:
+        return self._note("words", lambda: Batch.words.fget(self))
+
+    def asked_by(self, rule: Rule) -> set[str]:
+        """All measures that a rule needs, those of its measures included."""
+        self._open.append((rule.name, 0.0))
+        rule.rejects(self)
+        self._open.pop()
+        out, todo = set(), [rule.name]
+        while todo:
+            new = self.uses.get(todo.pop(), set()) - out
+            out |= new
+            todo += new
+        return out
+
+
 @dataclass(frozen=True)
 class Plan:
     order: tuple[str, ...]
+    #: Seconds a document of each measure, and the share that each rule rejects of the documents that come to it in that order.
     cost: dict[str, float] = field(compare=False)
     rejected: dict[str, float] = field(compare=False)
 
@@ -216,29 +265,55 @@ class Cascade:
     def __init__(self, rules: Sequence[Rule] = (*BASE, *RULES), sample_docs: int = SAMPLE_DOCS):
         self.rules, self.sample_docs = tuple(rules), sample_docs
 
-    def plan(self, docs: DataFrame, text: str = "text") -> Plan:
-        """Cost and selectivity of each rule on at most sample_docs documents; they are read and timed on an executor."""
-        rules = self.rules
-
-        def measured(batch: pa.RecordBatch) -> pa.RecordBatch:
-            Batch.of(batch.column(0)).words  # noqa: B018  warms up the tables of powers
-            took, n, out = [], [], []
-            for rule in rules:
-                x = Batch.of(batch.column(0))
-                began = time.perf_counter()
-                bad = rule.rejects(x)
-                took.append(time.perf_counter() - began)
-                n.append(len(bad))
-                out.append(int(bad.sum()))
-            return pa.record_batch({"rule": pa.array([r.name for r in rules]), "s": pa.array(took), "n": pa.array(n, pa.int64()), "rejected": pa.array(out, pa.int64())})
-
-        rows = over_batches(docs.select(text).limit(self.sample_docs), measured, "rule string, s double, n long, rejected long").groupBy("rule").sum("s", "n", "rejected").collect()
-        got = {r[0]: (r[1] / max(r[2], 1), r[3] / max(r[2], 1)) for r in rows}
-        cost = {r.name: got.get(r.name, (0.0, 0.0))[0] for r in rules}
-        share = {r.name: got.get(r.name, (0.0, 0.0))[1] for r in rules}
-        at = {r.name: k for k, r in enumerate(rules)}
-        order = sorted(at, key=lambda k: (-share[k] / max(cost[k], 1e-9), at[k]))
-        return Plan(tuple(order), cost, share)
+    def plan(self, docs: DataFrame, text: str = "text", given: Sequence[Rule] = ()) -> Plan:
+        """The order of the rules behind those `given`, from about sample_docs documents.
+
+        SAMPLE_PARTITIONS partitions, spread evenly, draw documents at random from their
+        first batch and judge them where they are; only verdicts and times leave them.
+        """
+        rules, known = self.rules, (*given, *self.rules)
+        n = docs.rdd.getNumPartitions()
+        step = max(1, n // SAMPLE_PARTITIONS)
+        each = -(-self.sample_docs // max(1, -(-n // step)))
+
+        def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = TaskContext.get().partitionId()
+            if part % step:
+                return
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                at = np.random.default_rng(part).permutation(batch.num_rows)[:each]
+                column = batch.column(0).take(pa.array(np.sort(at)))
+                Batch.of(column).words  # noqa: B018  warms up the tables of powers
+                x = Timed(*W.buffers(column))
+                bad = np.stack([r.rejects(x) for r in known], 1)
+                names = sorted(x.seconds)
+                yield pa.record_batch({"bad": pa.array(bad.tolist(), pa.list_(pa.bool_())), "names": pa.array([names] * len(bad), pa.list_(pa.string())), "s": pa.array([[x.seconds[k] / len(bad) for k in names]] * len(bad), pa.list_(pa.float64()))})
+                return
+
+        arrow_limits(docs.sparkSession)
+        rows = docs.select(text).mapInArrow(measured, "bad array<boolean>, names array<string>, s array<double>").collect()  # about sample_docs rows
+        cost: dict[str, float] = {}
+        for r in rows:
+            for name, s in zip(r["names"], r["s"], strict=True):
+                cost[name] = cost.get(name, 0.0) + s / len(rows)
+        bad = np.array([r["bad"] for r in rows], bool).reshape(-1, len(known))
+        nothing = Timed(np.zeros(0, np.uint8), np.zeros(1, np.int64))
+        needs = {r.name: nothing.asked_by(r) for r in known}
+        have = set().union(*(needs[r.name] for r in given)) if given else set()
+        left = ~bad[:, : len(given)].any(1)
+        order, rejected, waiting = [], {}, list(range(len(given), len(known)))
+        while waiting:  # the next rule is the one that rejects most of what is left, per second of the measures that aren't made yet
+            share = {k: float(bad[left, k].mean()) if left.any() else 0.0 for k in waiting}
+            seconds = {k: sum(cost.get(m, 0.0) for m in needs[known[k].name] - have) for k in waiting}
+            best = max(waiting, key=lambda k: (share[k] / max(seconds[k], 1e-9), -k))
+            waiting.remove(best)
+            order.append(known[best].name)
+            rejected[known[best].name] = share[best]
+            have |= needs[known[best].name]
+            left &= ~bad[:, best]
+        return Plan(tuple(order), cost, rejected)
 
     def verdict(self, x: Batch, order: Sequence[str]) -> np.ndarray:
         """True for the documents that every rule keeps; each rule sees only what is left."""
@@ -265,23 +340,58 @@ class Cascade:
     def judged(self, docs: DataFrame, key: str = "doc_id", text: str = "text", measures: Sequence[str] = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) -> DataFrame:
         """A row per document: the key, the named measures, base_failed and kept."""
         rest = Cascade([r for r in self.rules if r not in BASE], self.sample_docs)
-        order = rest.plan(docs, text).order
+        order = rest.plan(docs, text, BASE).order
         kind = docs.schema[key].dataType.simpleString()
+        name = {m: f"{m}_" if m == key else m for m in (*measures, "base_failed", "kept")}
 
         def judge(batch: pa.RecordBatch) -> pa.RecordBatch:
             x = Batch.of(batch.column(1))
-            values = {m: pa.array(x.get(m).astype(np.int64)) for m in measures}
+            values = {name[m]: pa.array(x.get(m).astype(np.int64)) for m in measures}
             failed = np.zeros(batch.num_rows, bool)
             for r in BASE:
                 failed |= r.rejects(x)
             kept = np.zeros(batch.num_rows, bool)
             some = np.flatnonzero(~failed)
             kept[some[rest.verdict(x.take(~failed), order)]] = True
-            return pa.record_batch({key: batch.column(0), **values, "base_failed": pa.array(failed), "kept": pa.array(kept)})
+            return pa.record_batch({key: batch.column(0), **values, name["base_failed"]: pa.array(failed), name["kept"]: pa.array(kept)})
 
-        return over_batches(docs.select(key, text), judge, f"`{key}` {kind}, {', '.join(f'{m} long' for m in measures)}, base_failed boolean, kept boolean")
+        return over_batches(docs.select(key, text), judge, f"`{key}` {kind}, {', '.join(f'{name[m]} long' for m in measures)}, {name['base_failed']} boolean, {name['kept']} boolean")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the cascade's verdict for each document."""
     return Cascade().judged(table(spark, sf_dir, "documents"))
+
+
+#: The same rows by DuckDB.
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), word AS (
+  SELECT r, unnest(w) AS w, generate_subscripts(w, 1) AS p FROM d
+), eight AS (
+  SELECT r, unnest(range(1, len(w) - 6)) AS p, w FROM d WHERE len(w) >= 8
+), again AS (
+  SELECT r, unnest(list(p)) AS p FROM (SELECT r, p, array_to_string(w[p : p + 7], ' ') AS x FROM eight) GROUP BY r, x HAVING count(*) > 1
+), repeated AS (
+  SELECT r, count(*) AS n_repeat_words FROM (SELECT DISTINCT r, p + unnest(range(0, 8)) AS p FROM again) GROUP BY r
+), stutter AS (
+  SELECT r, count(*) AS n_stutter FROM (SELECT r, w = lag(w) OVER (PARTITION BY r ORDER BY p) AS same FROM word) WHERE same GROUP BY r
+), line AS (
+  SELECT r, unnest(string_split(text, chr(10))) AS l FROM d
+), lines AS (
+  SELECT r, count(*) - 1 AS again, (count(*) - 1) * any_value(len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS words
+  FROM line WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r, l
+), dup AS (
+  SELECT r, sum(again) :: BIGINT AS n_dup_lines, sum(words) :: BIGINT AS dup_line_words FROM lines GROUP BY r
+), m AS (
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(dup_line_words, 0) AS dup_line_words, coalesce(n_stutter, 0) AS n_stutter,
+    length(regexp_replace(text, '[^A-Za-z\x{80}-\x{10FFFF}]', '', 'g')) AS n_letters, length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits
+  FROM d LEFT JOIN repeated USING (r) LEFT JOIN stutter USING (r) LEFT JOIN dup USING (r)
+), f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * word_chars > 1500 * n_words OR 10 * word_chars < 22 * n_words OR 100 * n_letters < 45 * word_chars
+    OR 100 * n_digits > 50 * word_chars OR 100 * n_stutter > 20 * n_words OR (n_dup_lines >= 3 AND 100 * dup_line_words > 30 * n_words)) AS kept
+FROM f
+"""
