@@ -1,16 +1,21 @@
 """Bulk-synchronous best-fit packing of tokenised documents into sequences.
 
 Documents become pieces of at most `capacity` ids. Packing looks only at piece
-lengths and sequence gaps, of which at most `capacity` different values exist,
-so documents and gaps are held range-sorted as classes (length, how many) and
-(gap, intervals of sequences). Rounds go from long to short lengths: in each,
-every waiting class takes its successor, the smallest gap that holds it, in one
-sweep; classes that want the same gap are served by rank, longest first; the
-gaps are updated; and so on until no class finds a gap, when the longest one
-opens sequences. The plan is a list of runs: pieces of one length with ranks
-[r, r + n) go to sequences [s, s + n) at one offset. Ranks are given on the
-executors in two steps (rank within a slice of the pieces of a length, plus the
-slices before), so a length that a third of all pieces share is not one task's.
+lengths and sequence gaps, of which at most `capacity` different values exist, so
+documents and gaps are held as classes (length, ranks) and (gap, sequences). Long
+lengths go first, in bands of a factor of two. In each round of a band gaps are
+sorted into ranges of sizes, waiting classes go to the range of their successor,
+the smallest gap that holds them, and all ranges are swept at once, each on an
+executor: longest first, so that conflicts are resolved by rank, each class fills
+sequences of its successor gap. What finds no gap left in its range goes to its
+new successor, in a range above, in the next round; the gaps are updated; and so
+on until no class finds a gap, when sequences are opened for what waits. A round
+ends classes or gap intervals, or splits one of each: intervals are at most four
+times the capacity in number, and runs at most eight times that for each band, so
+the runs that are sent to the executors at the end stay under 12 MB. Ranks within
+a class are given on the executors in two steps (rank within a slice of the pieces
+of a length, plus the slices before), so a length that a third of all pieces share
+is not one task's.
 
 Defined cases: null text is an empty text, whose only id is the closing one;
 repeated rows are packed each; equal lengths are ranked by slice, key and
@@ -33,6 +38,8 @@ from .common import over_batches, saved, table
 CAPACITY, END_ID, TOKENIZER = 4096, 1, "word_bpe_49k.json"
 #: Words whose ids a worker remembers; when full, it starts anew.
 CACHE_WORDS = 600_000
+#: Parts that a round's sizes are sorted into, and the length from which on all lengths are one band.
+RANGES, SMALLEST_BAND = 8, 64
 
 
 class WordTokenizer:
@@ -164,66 +171,86 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
     return over_batches(docs.select(key, text), cut, f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * ids)
 
 
-def plan(lengths: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
-    """Runs (length, first rank, count, first sequence, offset) for the given number of pieces of each length."""
-    waiting = {n: c for n, c in lengths.items() if c > 0}
-    done = dict.fromkeys(waiting, 0)
-    gaps: dict[int, list[list[int]]] = {}
-    order: list[int] = []  # the gaps that exist, sorted
-    runs: list[tuple[int, int, int, int, int]] = []
-    sequences = 0
+def sweep(waiting: list[tuple[int, int, int]], free: list[tuple[int, int, int]], capacity: int) -> tuple[list, list, list]:
+    """One range's sweep: (runs, what still waits, free gaps) for classes (length, first rank, count) and gaps (gap, first sequence, count).
+
+    Longest first, each class takes its successor, the smallest gap that holds it, for as many sequences as it fills.
+    """
+    gaps: dict[int, list[tuple[int, int]]] = {}
+    for gap, first, count in free:
+        gaps.setdefault(gap, []).append((first, count))
+    order = sorted(gaps)
+    runs, left = [], []
 
     def add(gap: int, first: int, count: int) -> None:
-        if gap <= 0:
-            return
         if gap not in gaps:
             gaps[gap] = []
             insort(order, gap)
-        gaps[gap].append([first, count])
-
-    def fill(length: int, gap: int) -> None:
-        """Puts as many waiting pieces of a length as there are into sequences with that gap."""
-        some = gaps[gap]
-        while some and waiting[length]:
-            first, count = some[-1]
-            n = min(count, waiting[length])
-            runs.append((length, done[length], n, first, capacity - gap))
-            done[length] += n
-            waiting[length] -= n
-            if n == count:
-                some.pop()
-            else:
-                some[-1] = [first + n, count - n]
-            add(gap - length, first, n)
-        if not some:
-            del gaps[gap]
-            order.pop(bisect_left(order, gap))
-
-    high = capacity
+        gaps[gap].append((first, count))
+
+    for length, rank, n in sorted(waiting, reverse=True):
+        while n and (at := bisect_left(order, length)) < len(order):
+            gap = order[at]
+            first, count = gaps[gap].pop()
+            if not gaps[gap]:
+                del gaps[gap]
+                order.pop(at)
+            each = min(gap // length, n)
+            used = min(count, n // each)
+            runs.append((length, rank, used * each, first, used, capacity - gap))
+            rank, n = rank + used * each, n - used * each
+            add(gap - each * length, first, used)
+            if used < count:
+                add(gap, first + used, count - used)
+        if n:
+            left.append((length, rank, n))
+    return runs, left, [(gap, first, count) for gap, some in gaps.items() if gap for first, count in some]
+
+
+def plan(spark: SparkSession, lengths: dict[int, int], capacity: int = CAPACITY, ranges: int = RANGES) -> np.ndarray:
+    """Runs (length, first rank, count, first sequence, sequences, offset) for the given number of pieces of each length.
+
+    The pieces of a run go round its sequences: the i-th of them to the i-th sequence, and after the last one to the first again.
+    """
+    waiting = [(n, 0, c) for n, c in lengths.items() if c > 0]
+    gaps: list[tuple[int, int, int]] = []
+    runs: list[tuple[int, ...]] = []
+    sequences, high = 0, capacity
+    schema = "kind int, a long, b long, c long, d long, e long, f long"
+
+    def swept(t: pa.Table) -> pa.Table:
+        rows = list(zip(*(t.column(c).to_pylist() for c in ("gap", "size", "first", "n")), strict=True))
+        got = sweep([r[1:] for r in rows if not r[0]], [r[1:] for r in rows if r[0]], capacity)
+        out = np.array([(kind, *r, *[0] * (6 - len(r))) for kind, some in enumerate(got) for r in some], np.int64).reshape(-1, 7)
+        return pa.table({c: pa.array(out[:, k].astype(np.int32) if not k else out[:, k]) for k, c in enumerate(("kind", *"abcdef"))})
+
     while waiting:
-        low = high // 2
-        band = sorted((n for n in waiting if n > low), reverse=True)  # by rank: longest first
+        low = high // 2 if high > SMALLEST_BAND else 0
+        band, waiting = [w for w in waiting if w[0] > low], [w for w in waiting if w[0] <= low]
         while band:
-            wants: dict[int, list[int]] = {}
-            for n in band:
-                at = bisect_left(order, n)
-                if at < len(order):
-                    wants.setdefault(order[at], []).append(n)
-            if wants:
-                for gap, ranked in wants.items():
-                    for n in ranked:
-                        if gap in gaps:
-                            fill(n, gap)
-            else:
-                n = band[0]
-                count = -(-waiting[n] // (capacity // n))
-                add(capacity, sequences, count)
-                sequences += count
-                fill(n, capacity)
-            band = [n for n in band if waiting[n]]
-        waiting = {n: c for n, c in waiting.items() if c}
+            sizes = np.unique([g[0] for g in gaps])
+            meets = [w for w in band if len(sizes) and w[0] <= sizes[-1]]
+            if not meets:  # nothing holds any of them: sequences for all are opened, of which those that stay empty are gaps of the next bands
+                for length, _, n in band:
+                    count = -(-n // (capacity // length))
+                    gaps.append((capacity, sequences, count))
+                    sequences += count
+                continue
+            bounds = np.unique(sizes[:: -(-len(sizes) // ranges)])
+            put = [(False, *w) for w in meets] + [(True, *g) for g in gaps]
+            successor = [sizes[np.searchsorted(sizes, r[1])] for r in put]
+            part = np.searchsorted(bounds, successor, side="right") - 1
+            both = set(part[: len(meets)].tolist())
+            rest = [g for g, x in zip(gaps, part[len(meets) :].tolist(), strict=True) if x not in both]
+            rows = [(x, *r) for x, r in zip(part.tolist(), put, strict=True) if x in both]
+            table_ = pa.table({c: pa.array(v) for c, v in zip(("part", "gap", "size", "first", "n"), zip(*rows, strict=True), strict=True)})
+            out = np.stack([c.to_numpy() for c in spark.createDataFrame(table_).groupBy("part").applyInArrow(swept, schema).toArrow().columns], 1)
+            runs += map(tuple, out[out[:, 0] == 0, 1:].tolist())
+            left = [tuple(r[:3]) for r in out[out[:, 0] == 1, 1:].tolist()]
+            gaps = rest + [tuple(r[:3]) for r in out[out[:, 0] == 2, 1:].tolist()]
+            band = [w for w in band if w not in set(meets)] + left
         high = low
-    out = np.array(runs, np.int64).reshape(-1, 5)
+    out = np.array(runs, np.int64).reshape(-1, 6)
     return out[np.lexsort((out[:, 1], out[:, 0]))]
 
 
@@ -235,7 +262,7 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
     cut = cut.withColumn("slice", F.pmod(F.xxhash64(key, "piece"), F.lit(slices)).cast("int"))
     counts = saved(cut.groupBy("length", "slice").agg(F.count("*").alias("n")), "lengths")
     total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
-    runs = plan(total, capacity)
+    runs = plan(spark, total, capacity)
     shared = spark.sparkContext.broadcast((runs[:, 0] << 40 | runs[:, 1], runs))
     before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("slice")) - F.col("n")).drop("n")
     ranked = cut.withColumn("rank", F.row_number().over(Window.partitionBy("length", "slice").orderBy(key, "piece")) - 1).join(before, ["length", "slice"])
@@ -247,8 +274,10 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, runs = shared.value
         rank = batch.column(n).to_numpy()
-        run = runs[np.searchsorted(keys, batch.column(at).to_numpy() << 40 | rank, side="right") - 1]
-        return pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(run[:, 3] + rank - run[:, 1]), pa.array(run[:, 4])], names=[*columns, "sequence_id", "offset"])
+        length = batch.column(at).to_numpy()
+        run = runs[np.searchsorted(keys, length << 40 | rank, side="right") - 1]
+        turn, place_ = np.divmod(rank - run[:, 1], np.maximum(run[:, 4], 1))
+        return pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(run[:, 3] + place_), pa.array(run[:, 5] + turn * length)], names=[*columns, "sequence_id", "offset"])
 
     types = dict(cut.dtypes)
     return over_batches(ranked, place, ", ".join(f"`{c}` {types[c]}" for c in columns) + ", sequence_id long, offset long")
