@@ -9,12 +9,13 @@ documents count by how toxic they already look (all alike at first), those of
 clean ones by how wrong they look. A last step fits a slope and an intercept on
 labelled documents that weren't trained on.
 
-The model is fitted on a bounded sample of the labelled rows (TRAIN_DOCS of each
-label, texts of at most TRAIN_BYTES; CALIBRATE_DOCS further ones); its size is
-fixed. Every document is scored whole.
+The model is fitted on a bounded sample of the labelled rows: TRAIN_DOCS of each
+label of TRAIN_BYTES together, those of at most SHORT_BYTES first, then longer ones;
+CALIBRATE_DOCS further ones of any length set slope and intercept. Texts are taken
+whole; the first one may be of any size. Every document is scored whole.
 
-Defined cases: null text is an empty text; a text without words has the logit of
-no evidence (zero before calibration); repeated and conflicting labels of one
+Defined cases: null text is an empty text; a text without words has a logit of -30,
+which is a score of 0; repeated and conflicting labels of one
 document count as toxic if any says so; null labels are ignored; without labels
 of both kinds all scores are 0; an empty table gives an empty table.
 """
@@ -23,14 +24,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import crc32_mod, over_batches, table
+from .common import crc32_mod, dropped, over_batches, saved, table
 
 BUCKETS, DIMENSIONS, WINDOW = 1 << 17, 8, 12
-TRAIN_DOCS, TRAIN_BYTES, CALIBRATE_DOCS = 2000, 2000, 800
+TRAIN_DOCS, TRAIN_BYTES, SHORT_BYTES, CALIBRATE_DOCS = 2000, 2 << 20, 2000, 800
 EPOCHS, RATE, BATCH = 8, 0.5, 64
 THRESHOLD = 0.3
 _LETTER = np.ones(256, bool)
@@ -72,6 +73,11 @@ class Model:
         self.weights, self.slope, self.intercept = weights, slope, intercept
 
     def logits(self, column: pa.Array) -> np.ndarray:
+        raw = self.highest(column)
+        return np.where(np.isnan(raw), -30.0, self.slope * raw + self.intercept)
+
+    def highest(self, column: pa.Array) -> np.ndarray:
+        """Each text's highest window before calibration; NaN without words."""
         b, offsets = W.buffers(column)
         out = np.zeros(len(offsets) - 1)
         for i, j in W.pieces(offsets, 1 << 20):
@@ -82,7 +88,7 @@ class Model:
                 parts = [self._words(b[s:e], np.array([0, e - s])) for s, e in W._cuts(b, lo, hi, W.SPACE)]
                 total, count = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
                 out[i:j] = self._best(total, count, np.array([0, len(total)]))
-        return self.slope * out + self.intercept
+        return out
 
     def _words(self, b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         bucket, word, first = features(b, offsets)
@@ -98,7 +104,7 @@ class Model:
         end = np.minimum(begin + WINDOW, first[doc + 1]) if n else begin
         begin = np.maximum(first[doc], np.minimum(begin, end - WINDOW)) if n else begin
         value = (sums[end] - sums[begin]) / np.maximum(sizes[end] - sizes[begin], 1)
-        out = np.zeros(len(first) - 1)
+        out = np.full(len(first) - 1, np.nan)
         some = np.flatnonzero(np.diff(first) > 0)
         if len(some):
             out[some] = np.maximum.reduceat(value, first[some])
@@ -168,7 +174,7 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
 
 def calibrate(model: Model, texts: pa.Array, toxic: np.ndarray, weight: np.ndarray) -> Model:
     """Slope and intercept of the documents' logits by Newton steps, lightly held to a slope of zero."""
-    x = model.logits(texts)
+    x = np.nan_to_num(model.highest(texts))
     scale = max(float(np.abs(x).max()), 1e-9) if len(x) else 1.0
     a = np.stack([x / scale, np.ones(len(x))], 1)
     w = np.zeros(2)
@@ -182,28 +188,34 @@ def calibrate(model: Model, texts: pa.Array, toxic: np.ndarray, weight: np.ndarr
 
 def fitted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model | None:
     """The model, from the sample of labels (key, toxic) and their documents; None without both labels."""
-    marks = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull()).groupBy(key).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    chosen = None
-    for label in (0, 1):
-        some = marks.where(F.col("toxic") == label).orderBy(F.xxhash64(key), key).limit(2 * (TRAIN_DOCS + CALIBRATE_DOCS))
-        chosen = some if chosen is None else chosen.union(some)
-    texts = docs.select(key, text).join(F.broadcast(chosen), key).where(F.octet_length(text) <= 8 * TRAIN_BYTES)
-    got = texts.select(F.col(key).alias("k"), F.xxhash64(key).alias("h"), F.col(text).alias("t"), "toxic")
-    fit, rest = [], []
-    for label in (0, 1):
-        apart = F.pmod(F.col("h"), F.lit(5)) == 0  # a fifth is for calibration
-        short = got.where((F.col("toxic") == label) & ~apart & (F.octet_length("t") <= TRAIN_BYTES)).orderBy("h", "k").limit(TRAIN_DOCS)
-        fit.append(short.toArrow())
-        rest.append(got.where((F.col("toxic") == label) & apart).orderBy("h", "k").limit(CALIBRATE_DOCS).toArrow())
+    marks = saved(labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg((F.max("toxic") > 0).cast("int").alias("toxic")), "marks")
+    number = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    h = F.xxhash64("k")
+    apart = F.pmod(h, F.lit(5)) == 0  # a fifth is for calibration
+    some = [marks.where((F.col("toxic") == label) & part).orderBy(h, "k").limit(n) for label in (0, 1) for part, n in ((~apart, 2 * TRAIN_DOCS), (apart, CALIBRATE_DOCS))]
+    chosen = saved(some[0].union(some[1]).union(some[2]).union(some[3]), "chosen")  # of proven size
+    got = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), "k")
+    got = saved(got.select("k", "t", "toxic", h.alias("h"), apart.alias("apart"), F.coalesce(F.octet_length("t"), F.lit(0)).cast("long").alias("size")), "sample")
+    first = {False: (F.col("size") > SHORT_BYTES, "h", "k"), True: ("h", "k")}  # short texts come first to train on
+
+    def bounded(label: int, rest: bool, docs_: int, bytes_: int) -> pa.Table:
+        mine = got.where((F.col("toxic") == label) & (F.col("apart") == rest))
+        ranked = mine.drop("t").withColumn("at", F.row_number().over(Window.partitionBy("toxic").orderBy(*first[rest])))
+        before = F.sum("size").over(Window.partitionBy("toxic").orderBy("at")) - F.col("size")
+        taken = ranked.withColumn("before", before).where((F.col("at") <= docs_) & ((F.col("before") + F.col("size") <= bytes_) | (F.col("at") == 1)))
+        return mine.join(F.broadcast(taken.select("k").distinct()), "k", "left_semi").select("t", "toxic").toArrow()
+
+    fit = [bounded(label, False, TRAIN_DOCS, TRAIN_BYTES) for label in (0, 1)]
     if not fit[0].num_rows or not fit[1].num_rows:
         return None
     both = pa.concat_tables(fit).combine_chunks()
     model = train(both.column("t"), both.column("toxic").to_numpy())
-    held = pa.concat_tables(rest).combine_chunks()
+    held = pa.concat_tables([bounded(label, True, CALIBRATE_DOCS, 4 * TRAIN_BYTES) for label in (0, 1)]).combine_chunks()
     y = held.column("toxic").to_numpy()
     if len(np.unique(y)) < 2:
         held, y = both, both.column("toxic").to_numpy()
-    share = np.array([0.9 / max((y == 0).sum(), 1), 0.1 / max((y == 1).sum(), 1)]) * len(y)  # as rare as toxic texts are
+    dropped(marks, chosen, got)
+    share = np.array([number[k] / sum(number.values()) / (y == k).sum() for k in (0, 1)]) * len(y)  # as frequent as the labels say
     return calibrate(model, held.column("t"), y, share[y])
 
 

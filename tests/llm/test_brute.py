@@ -315,7 +315,7 @@ def test_many_levels_of_cells_give_the_same_scores(spark, documents, monkeypatch
 
 
 def test_toxicity_on_held_out_labels(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     got = {r["doc_id"]: r for r in toxicity.op4_toxicity(spark, sf).collect()}
     labels = spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null").collect()
     held = [(r["toxic"], got[r["doc_id"]]["predicted"]) for r in labels if got[r["doc_id"]]["held_out"]]
@@ -330,7 +330,7 @@ def same_rows(df, sql, **tables):
     c = duckdb.connect()
     for name, t in tables.items():
         c.register(name, t.toArrow())
-    want = c.execute(sql).fetch_arrow_table()
+    want = c.execute(sql).to_arrow_table()
     assert sorted(df.columns) == sorted(want.column_names)
     cols = sorted(df.columns)
     key = lambda r: tuple((v is None, str(v)) for v in r)
