@@ -233,3 +233,34 @@ def iso_basic(ts: Column) -> Column:
 def parse_iso(c: Column) -> Column:
     """Strict; other forms are null."""
     return F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
+
+
+#: Parameters that carry a workspace's token, and how tokens begin.
+TOKEN_PARAMS, TOKEN_HEAD = ("token", "t"), "xox"
+_TOKEN = r"[?&](token|t)=xox[^&#]*"
+
+
+def embedded_token(url: Column) -> Column:
+    """The token in a URL's query, or null; other values of the same parameters are none."""
+    values = (query_value(url, p) for p in TOKEN_PARAMS)
+    return F.coalesce(*(F.when(F.startswith(v, F.lit(TOKEN_HEAD)), v) for v in values))
+
+
+def token_param(url: Column) -> Column:
+    """The parameter that carries it (the last one of several), or null."""
+    return F.nullif(F.regexp_extract(url, ".*" + _TOKEN, 1), F.lit(""))
+
+
+def token_free(url: Column) -> Column:
+    """The URL without it; other parameters and the fragment stay."""
+    first = F.regexp_replace(url, r"(\?)(?:(?:token|t)=xox[^&#]*&?)+", "$1")
+    rest = F.regexp_replace(first, r"&(?:token|t)=xox[^&#]*", "")
+    return F.regexp_replace(rest, r"\?(#|$)", "$1")
+
+
+def with_token(url: Column, param: Column, token: Column) -> Column:
+    """The inverse of token_free: without a known parameter `token` is taken, and a URL that has a token stays as it is."""
+    usual = param.isNull() | (param == TOKEN_PARAMS[0])
+    name = F.coalesce(param, F.lit(TOKEN_PARAMS[0]))
+    put = F.concat(url, F.when(F.contains(url, F.lit("?")), "&").otherwise("?"), name, F.lit("="), F.url_encode(token))
+    return F.when(token.isNull() | (token == "") | (url == "") | (usual & embedded_token(url).isNotNull()), url).otherwise(put)

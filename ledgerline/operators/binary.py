@@ -116,7 +116,8 @@ def measure(path: str, data: bytes, deep: bool = False) -> tuple[int, str, str]:
         if kind == "stored":
             return len(data), kind, "stored"
         if kind == "zip":
-            return *(zip_through if deep else zip_directory)(data)[:1], kind, (zip_through if deep else zip_directory)(data)[1]
+            size, method = (zip_through if deep else zip_directory)(data)
+            return size, kind, method
         if kind == "parquet":
             size, method = parquet_footer(data)
         elif kind == "gz":

@@ -84,10 +84,9 @@ def ledger_check(ledger: DataFrame, landed: DataFrame) -> DataFrame:
 
 def distinct_versions(versions: DataFrame) -> DataFrame:
     """Non-latest versions whose etag differs from the current one and from those kept before, in order (key, seq, version, etag, is_latest)."""
-    whole = Window.partitionBy("key").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    current = F.first(F.when(F.col("is_latest"), F.col("etag")), True).over(whole)
-    nth = F.row_number().over(Window.partitionBy("key", "etag", "is_latest").orderBy("seq"))
-    return versions.withColumn("current", current).withColumn("nth", nth).where(~F.col("is_latest") & (F.col("nth") == 1) & ~F.coalesce(F.col("etag") == F.col("current"), F.lit(False))).drop("current", "nth")
+    current = versions.where("is_latest").groupBy("key").agg(F.min_by("etag", "seq").alias("current"))
+    first = versions.where(~F.col("is_latest")).groupBy("key", "etag").agg(F.min_by(F.struct(*versions.columns), "seq").alias("v")).select("v.*")
+    return first.join(current, "key", "left").where(~F.coalesce(F.col("etag") == F.col("current"), F.lit(False))).select(versions.columns)
 
 
 def merged_columns(chunks: DataFrame, key: str, order: str) -> DataFrame:

@@ -34,15 +34,29 @@ def gate_samples(expected: DataFrame, landed: DataFrame, group: str, key: str, n
     return missing.join(here, group, "left").select(group, key, F.least(F.coalesce("here", F.lit(0)), F.lit(near)).cast("long").alias("neighbours"))
 
 
-def rolled_up(jobs: DataFrame, source: DataFrame, destination: DataFrame, key: str) -> DataFrame:
-    """Count and bytes of each job at both ends: ok, MISMATCH, or LIST-ERROR where an end could not be listed."""
+def gate_neighbours(expected: DataFrame, landed: DataFrame, group: str, key: str, n: int = GATE_SAMPLE, near: int = NEIGHBOURS) -> DataFrame:
+    """The first n missing keys (a report) with the first `near` landed keys of their group, or none."""
+    missing = expected.join(landed.select(key), key, "left_anti").orderBy(key).limit(n)
+    here = landed.join(F.broadcast(missing.select(group).distinct()), group, "left_semi")
+    taken = None
+    for _ in range(near):  # the next key of each group, by one aggregation each
+        left = here if taken is None else here.join(taken.groupBy(group).agg(F.max("neighbour").alias("last")), group).where(F.col(key) > F.col("last"))
+        one = left.groupBy(group).agg(F.min(key).alias("neighbour"))
+        taken = one if taken is None else taken.union(one)
+    return missing.join(taken, group, "left").select(group, key, "neighbour")
+
+
+def rolled_up(jobs: DataFrame, source: DataFrame, destination: DataFrame, key: str, deep: bool = False) -> DataFrame:
+    """Count and bytes of each job at both ends: ok, MISMATCH, or LIST-ERROR where an end could not be listed; deep: DEEP-DIFF where only bytes differ."""
 
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(key).agg(F.count("*").alias(f"{name}_n"), F.sum("size").cast("long").alias(f"{name}_bytes"))
 
     j = jobs.join(side(source, "src"), key, "left").join(side(destination, "dst"), key, "left")
     same = (F.col("src_n") == F.col("dst_n")) & (F.col("src_bytes") == F.col("dst_bytes"))
-    return j.withColumn("status", F.when(F.col("src_n").isNull() | F.col("dst_n").isNull(), "LIST-ERROR").when(same, "ok").otherwise("MISMATCH"))
+    state = F.when(F.col("src_n").isNull() | F.col("dst_n").isNull(), "LIST-ERROR").when(same, "ok")
+    state = state.when(F.col("src_n") == F.col("dst_n"), "DEEP-DIFF") if deep else state
+    return j.withColumn("status", state.otherwise("MISMATCH"))
 
 
 def batched(rows: DataFrame, group: str, order: str, size: int) -> DataFrame:

@@ -24,10 +24,11 @@ def tier_hours(calls: Column) -> list[Column]:
 
 
 def blocks(df: DataFrame, size: str, block: int) -> DataFrame:
-    """Ranges [start, end] that cover each size; refused beyond 50,000 blocks."""
-    ok = df.where((F.col(size) > 0) & (F.col(size) <= 50_000 * block))
-    starts = F.sequence(F.lit(0).cast("long"), F.col(size) - 1, F.lit(block).cast("long"))
-    return ok.select("*", F.posexplode(starts).alias("block", "start")).withColumn("end", F.least(F.col("start") + block, F.col(size)) - 1)
+    """Ranges [start, end] that cover each size; a size of more than 50,000 blocks is one row without a range, refused."""
+    refused = F.col(size) > 50_000 * block
+    starts = F.when(~refused, F.sequence(F.lit(0).cast("long"), F.greatest(F.col(size) - 1, F.lit(0)), F.lit(block).cast("long")))
+    rows = df.where(F.col(size) > 0).select("*", refused.alias("refused"), F.posexplode_outer(starts).alias("block", "start"))
+    return rows.withColumn("end", F.least(F.col("start") + block, F.when(~F.col("refused"), F.col(size))) - 1).withColumn("end", F.when(~F.col("refused"), F.col("end")))
 
 
 def chunks(keys: DataFrame, key: str, per_chunk: int, safe: str = "^[0-9A-Za-z._/-]+$") -> DataFrame:
@@ -68,3 +69,8 @@ def job_plan(keys: DataFrame, key: str, few: int, many: int) -> DataFrame:
     deep = (F.col("n1") < few) & (F.col("n2") <= many)
     prefix = F.when(deep, F.col("d2")).otherwise(F.col("d1"))
     return counted.crossJoin(F.broadcast(size)).groupBy(prefix.alias("prefix")).agg(F.sum("n").alias("objects"), F.first(F.when(deep, 2).otherwise(1)).alias("depth")).withColumn("type", F.when((F.col("prefix") == "") | ((F.col("depth") == 2) & (F.length(F.regexp_replace("prefix", "[^/]", "")) == 1)), "S").otherwise("R"))
+
+
+def placed(units: DataFrame, *order: str) -> DataFrame:
+    """Units of a run with their place in it: a run's units are a short list, whose order is one."""
+    return units.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("long"))

@@ -68,7 +68,8 @@ def service_rows(services: DataFrame, sources: DataFrame, found: DataFrame) -> D
     """Each declared service (service, declared, records, prefix, equivalent) with what was received and flags; found: (service key, bytes)."""
     pairs = sources_of(services, sources)
     got = pairs.join(sources, "source").groupBy("service").agg(F.sum("unc").alias("actual"), F.sum("blobs").alias("blobs"), F.sum("deduplicated").alias("dedup"))
-    rows = services.join(got, "service", "left").join(found.select(norm(F.col("service")).alias("fk"), F.col("bytes").alias("found")), norm(services["service"]) == F.col("fk"), "left")
+    one = found.groupBy(norm(F.col("service")).alias("fk")).agg(F.min_by("bytes", "service").alias("found"))  # of several spellings the first by name
+    rows = services.join(got, "service", "left").join(one, norm(services["service"]) == F.col("fk"), "left")
     rows = rows.withColumn("actual", F.coalesce("actual", F.lit(0))).withColumn("blobs", F.coalesce("blobs", F.lit(0)))
     fl, pct = flags(F.col("declared"), F.col("records"), F.col("actual"), F.col("found"), F.col("equivalent"), F.col("dedup"))
     return rows.select("service", "declared", "records", "actual", "blobs", F.coalesce("found", F.lit(0)).alias("found"), fl.alias("flags"), pct.alias("pct"))

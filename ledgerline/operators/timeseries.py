@@ -44,10 +44,16 @@ def stage(complete: Column, flat_days: Column) -> Column:
     return F.when(~complete & (flat_days >= STALL_DAYS), "stalled").otherwise("pushing")
 
 
-def trailing_rate(jobs: DataFrame, now: Column, minutes: int = 30) -> DataFrame:
-    """Files a second over jobs that ended in the last minutes; the span starts where the first of them started."""
-    recent = F.col("end_s") >= now - minutes * 60
-    return jobs.agg(F.sum(F.when(recent, F.col("files"))).alias("files"), (now - F.min(F.when(recent, F.col("end_s") - F.col("seconds")))).alias("span")).select("files", "span", F.try_divide("files", "span").alias("per_second"))
+def trailing_rate(jobs: DataFrame, now: Column, minutes: int = 30, pending: Column | None = None, workers: int = 1) -> DataFrame:
+    """Files a second over jobs that ended in the last minutes; the span starts where the first of them started.
+
+    With a number of pending jobs also the hours that they take at the recent jobs' mean duration.
+    """
+    recent = jobs.where(F.col("end_s") >= now - minutes * 60)
+    mean = F.avg("seconds") * pending / workers / 3600 if pending is not None else None
+    more = [] if mean is None else [mean.alias("eta_hours")]
+    out = recent.agg(F.sum("files").alias("files"), (F.max(now) - F.min(F.col("end_s") - F.col("seconds"))).alias("span"), *more)
+    return out.select("files", "span", F.try_divide(F.col("files").cast("double"), F.col("span")).alias("per_second"), *(["eta_hours"] if more else []))
 
 
 def skip_reason(metric: Column, previous: Column, has_totals: Column, forced: bool = False) -> Column:

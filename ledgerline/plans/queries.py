@@ -392,12 +392,12 @@ def stage_transitions(spark, sf_dir):
     return c.select("user_id", "day", "total", "flat_days", timeseries.stage(F.col("total") >= 3, F.col("flat_days")).alias("stage"))
 
 
-@query("""WITH v AS (SELECT doc_id, source AS key, md5(substr(text, 1, 3)) AS etag, doc_id = max(doc_id) OVER (PARTITION BY source) AS is_latest FROM documents), c AS (SELECT key, max(etag) FILTER (is_latest) AS current FROM v GROUP BY 1), r AS (SELECT v.*, current, row_number() OVER (PARTITION BY v.key, etag ORDER BY doc_id DESC) AS nth FROM v JOIN c ON v.key = c.key WHERE NOT is_latest) SELECT key, doc_id, etag FROM r WHERE nth = 1 AND etag <> current""")
+@query("""WITH v AS (SELECT doc_id, source AS key, md5(text) AS etag, doc_id = max(doc_id) OVER (PARTITION BY source) AS is_latest FROM documents), c AS (SELECT key, max(etag) FILTER (is_latest) AS current FROM v GROUP BY 1), r AS (SELECT v.*, current, row_number() OVER (PARTITION BY v.key, etag ORDER BY doc_id DESC) AS nth FROM v JOIN c ON v.key = c.key WHERE NOT is_latest) SELECT key, doc_id, etag FROM r WHERE nth = 1 AND etag <> current""")
 def version_distinct(spark, sf_dir):
-    """Old versions worth keeping."""
+    """Old versions worth keeping; etags are of whole texts."""
     d = t(spark, sf_dir, "documents")
     last = d.groupBy("source").agg(F.max("doc_id").alias("last"))
-    v = d.join(F.broadcast(last), "source").select(F.col("source").alias("key"), (-F.col("doc_id")).alias("seq"), "doc_id", F.md5(F.substring("text", 1, 3).cast("binary")).alias("etag"), (F.col("doc_id") == F.col("last")).alias("is_latest"))
+    v = d.join(F.broadcast(last), "source").select(F.col("source").alias("key"), (-F.col("doc_id")).alias("seq"), "doc_id", F.md5(F.col("text").cast("binary")).alias("etag"), (F.col("doc_id") == F.col("last")).alias("is_latest"))
     return diff.distinct_versions(v).select("key", "doc_id", "etag")
 
 
@@ -406,8 +406,7 @@ def throughput_window(spark, sf_dir):
     """Rate over a trailing window."""
     j = t(spark, sf_dir, "events").select(F.unix_timestamp(F.col("ts").cast("timestamp")).alias("end_s"), F.lit(60).alias("seconds"), (F.col("event_id") % 10).alias("files"))
     now = j.agg(F.max("end_s").alias("now"))
-    r = j.join(F.broadcast(now)).where("end_s >= now - 86400")
-    return r.agg(F.sum("files").alias("files"), (F.max("now") - F.min(F.col("end_s") - F.col("seconds"))).alias("span")).select("files", "span", (F.col("files").cast("double") / F.col("span")).alias("per_second"))
+    return timeseries.trailing_rate(j.join(F.broadcast(now)), F.col("now"), 1440)
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderdate + INTERVAL 14 DAY > TIMESTAMP '1998-01-01' THEN 'active' ELSE 'expired' END AS state, CAST(datediff('day', TIMESTAMP '1998-01-01', o_orderdate + INTERVAL 14 DAY) AS BIGINT) AS days FROM orders""")
@@ -594,7 +593,7 @@ def split_chunks(spark, sf_dir):
 @query("""SELECT doc_id, b AS block, b * 1000 AS start, least((b + 1) * 1000, n_chars) - 1 AS "end" FROM (SELECT doc_id, n_chars, unnest(generate_series(0, (n_chars - 1) // 1000)) AS b FROM documents WHERE n_chars > 0)""")
 def block_plan(spark, sf_dir):
     """Byte ranges that cover each size."""
-    return planning.blocks(t(spark, sf_dir, "documents").select("doc_id", "n_chars"), "n_chars", 1000).select("doc_id", F.col("block").cast("long").alias("block"), "start", "end")
+    return planning.blocks(t(spark, sf_dir, "documents").select("doc_id", "n_chars"), "n_chars", 1000).where("not refused").select("doc_id", F.col("block").cast("long").alias("block"), "start", "end")
 
 
 @query("""SELECT CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 4))::INT // 4096 AS BIGINT) AS shard, count(*) AS n FROM (SELECT * FROM documents) GROUP BY 1""")

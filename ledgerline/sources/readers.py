@@ -137,3 +137,34 @@ def enveloped(pages: DataFrame, body: str, keys: tuple[str, ...]) -> DataFrame:
     cursor = first_of(*(F.get_json_object(body, p) for p in ("$.nextCursor", "$.cursor", "$.paging.next")))
     items = F.from_json(F.coalesce(bare, *(F.get_json_object(body, f"$.{k}") for k in keys)), "array<variant>")
     return pages.withColumn("cursor", cursor).withColumn("item", F.explode(F.transform(items, lambda x: F.to_json(x)))).drop(body)
+
+
+def list_page(names: DataFrame, name: str, prefix: str, marker: str = "", delimiter: str | None = None, size: int = 5000) -> DataFrame:
+    """One page (entry, is_prefix, n) of a listing: names under the prefix and behind the marker, those with the delimiter further on rolled up.
+
+    The filters are plain comparisons of the name, so they reach a Parquet scan. A page's size is what listings are asked for.
+    """
+    under = names.where(F.startswith(F.col(name), F.lit(prefix)) & (F.col(name) > marker))
+    entry = F.col(name)
+    if delimiter:
+        rest = F.substring(F.col(name), len(prefix) + 1, 1 << 20)
+        entry = F.when(F.contains(rest, F.lit(delimiter)), F.concat(F.lit(prefix), F.substring_index(rest, delimiter, 1), F.lit(delimiter))).otherwise(entry)
+    return under.groupBy(entry.alias("entry")).agg(F.count("*").alias("n")).withColumn("is_prefix", F.endswith("entry", F.lit(delimiter)) if delimiter else F.lit(False)).orderBy("entry").limit(size)
+
+
+def relative(listing: DataFrame, prefix: str) -> DataFrame:
+    """The listing's rows under a prefix, with the key relative to it."""
+    return listing.where(F.startswith("name", F.lit(prefix))).withColumn("key", F.expr(f"substring(name, {len(prefix) + 1})")).where("key <> ''")
+
+
+def by_folder(listing: DataFrame, prefix: str) -> DataFrame:
+    """(folder, rel, size); rows without a folder or with an empty rest are left out."""
+    rows = relative(listing, prefix).select(F.substring_index("key", "/", 1).alias("folder"), F.expr("substring(key, length(substring_index(key, '/', 1)) + 2)").alias("rel"), "size")
+    return rows.where("folder <> '' and rel <> ''")
+
+
+def token_ledger(entities: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """Each entity's token records (id, expires) of its ledger's JSON; a missing or broken ledger has none. files: (key, body)."""
+    schema = "struct<tokens:array<struct<id:string,expires:string>>>"
+    got = files.select(key, F.from_json("body", schema).alias("ledger"))
+    return entities.join(got, key, "left").select(key, F.explode_outer("ledger.tokens").alias("token")).select(key, "token.id", "token.expires")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import paths as P
 from ledgerline.functions import services as S
 from ledgerline.operators import binary, diff, planning, reconcile
-from ledgerline.plans import landed as Q
+from ledgerline.plans import pulls as Q
 
 SF = "/root/testdata/sf0.001"
 
