@@ -720,3 +720,86 @@ def gate_neighbours(spark, sf_dir):
     e = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("lib"))
     l = e.join(t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")).distinct(), "k", "left_semi")
     return O.gate_neighbours(e, l, "lib", "k")
+
+
+# ---- A, K: archives by ranges
+
+
+def _zip64(z: bytes, locator: int | None, count_only: bool = False) -> bytes:
+    """A zip archive whose end record is saturated, with a 64-bit record behind the directory unless only the count is."""
+    import struct
+
+    at = z.rfind(b"PK\x05\x06")
+    entries, size, offset = struct.unpack("<HII", z[at + 10 : at + 20])
+    if count_only:
+        return z[: at + 8] + b"\xff" * 4 + z[at + 12 :]
+    record = b"PK\x06\x06" + struct.pack("<QHHIIQQQQ", 44, 45, 45, 0, 0, entries, entries, size, offset)
+    found = b"PK\x06\x07" + struct.pack("<IQI", 0, at if locator is None else locator, 1)
+    return z[:at] + record + found + z[at : at + 8] + b"\xff" * 12 + z[at + 20 :]
+
+
+def _archives(spark, sf_dir):
+    """Archives of all kinds, made of part: two entries of p_size * 10 and k % 100 bytes, whole, 64-bit, damaged and otherwise packed."""
+
+    def make(batches):
+        import bz2
+        import gzip
+        import io
+        import lzma
+        import zipfile
+
+        import pandas as pd
+
+        for df in batches:
+            rows = []
+            for k, n in zip(df["p_partkey"].tolist(), df["p_size"].tolist(), strict=True):
+                one, two = b"x" * (n * 10), b"y" * (k % 100)
+                with zipfile.ZipFile(held := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr("slack/day.json", one)
+                    z.writestr("takeout/Drive/f.bin" if k % 3 else "other/f.bin", two)
+                whole = held.getvalue()
+                ends = ("zip", "zip", "zip", "zip", "zip", "zip", "zip", "bz2", "xz", "gz")
+                bodies = (whole, _zip64(whole, None), _zip64(whole, 1), _zip64(whole, None, True), whole[:-30], b"PK", b"PK\x05\x06" + b"\0" * 18, bz2.compress(one) + bz2.compress(two), lzma.compress(one + two), gzip.compress(one) + gzip.compress(two))
+                rows.append((f"{k}.{ends[k % 10]}", bodies[k % 10]))
+            yield pd.DataFrame(rows, columns=["path", "content"])
+
+    return t(spark, sf_dir, "part").select("p_partkey", "p_size").mapInPandas(make, "path string, content binary")
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_partkey % 10 < 4 THEN 'zip:2entries' WHEN p_partkey % 10 = 4 THEN 'zip-no-eocd' WHEN p_partkey % 10 = 5 THEN 'zip-tiny' ELSE 'zip:0entries' END AS method, CASE WHEN p_partkey % 10 < 4 THEN CAST(p_size * 10 + p_partkey % 100 AS BIGINT) WHEN p_partkey % 10 = 5 THEN 2 WHEN p_partkey % 10 = 6 THEN 0 END AS size, p_partkey % 10 = 4 AS stored FROM part WHERE p_partkey % 10 < 7""")
+def zip_directories(spark, sf_dir):
+    """Sizes of zip archives from their ends alone: 64-bit records, a wrong locator, a saturated count, no end, no entries."""
+    from ..operators import archives
+
+    m = archives.members(_archives(spark, sf_dir).where("path like '%.zip'"))
+    rows = m.groupBy("path", "clen", "uncomp", "method").agg(F.count("entry").alias("n"))
+    stored = F.col("method") == "zip-no-eocd"
+    return rows.select(F.substring_index("path", ".", 1).cast("long").alias("id"), "method", F.when(~stored, F.col("uncomp")).alias("size"), (stored & (F.col("uncomp") == F.col("clen"))).alias("stored"))
+
+
+@query("""SELECT service, CAST(sum(n) AS BIGINT) AS bytes, count(*) AS archives FROM (SELECT 'slack' AS service, p_size * 10 AS n FROM part WHERE p_partkey % 10 < 4 UNION ALL SELECT 'gdrive', p_partkey % 100 FROM part WHERE p_partkey % 10 < 4 AND p_partkey % 3 <> 0) GROUP BY 1""")
+def entry_services(spark, sf_dir):
+    """F2, K2: services detected by the paths of archives' entries, with their bytes."""
+    from ..operators import archives
+
+    rows = archives.attributed(archives.members(_archives(spark, sf_dir).where("path like '%.zip'")), S.matcher())
+    e = rows.select(F.explode("entries").alias("service", "bytes"))
+    return e.groupBy("service").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("archives"))
+
+
+@query("""SELECT p_partkey AS id, ['bz2-exact', 'xz-exact', 'gz-exact'][p_partkey % 10 - 6] AS method, CAST(p_size * 10 + p_partkey % 100 AS BIGINT) AS uncomp FROM part WHERE p_partkey % 10 >= 7""")
+def streamed_archives(spark, sf_dir):
+    """Archives of several members read through, a bounded chunk at a time."""
+    from ..operators import binary
+
+    s = binary.sized(_archives(spark, sf_dir).where("path not like '%.zip'"), deep=True)
+    return s.select(F.substring_index("path", ".", 1).cast("long").alias("id"), "method", "uncomp")
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_partkey % 10 < 4 THEN 'zip-exact' ELSE 'zip:0entries' END AS method, CASE WHEN p_partkey % 10 < 4 THEN CAST(p_size * 10 + p_partkey % 100 AS BIGINT) ELSE 0 END AS uncomp FROM part WHERE p_partkey % 10 IN (0, 1, 6)""")
+def inflated_archives(spark, sf_dir):
+    """Every entry of a zip archive inflated."""
+    from ..operators import binary
+
+    files = _archives(spark, sf_dir).where(F.substring_index("path", ".", 1).cast("long") % 10 % 5 < 2).where(F.substring_index("path", ".", 1).cast("long") % 10 != 5).where("path like '%.zip'")
+    return binary.sized(files, deep=True).select(F.substring_index("path", ".", 1).cast("long").alias("id"), "method", "uncomp")
