@@ -37,7 +37,7 @@ def manifest_rows(spark, sf_dir):
 
 @query("""SELECT 'n' || CAST(s_suppkey AS VARCHAR) || '/a' AS name, CAST(s_suppkey * 10 AS BIGINT) AS clen, 'e' || CAST(s_nationkey AS VARCHAR) AS etag FROM supplier UNION ALL SELECT 'n' || CAST(s_suppkey AS VARCHAR) || '/b', 0, '' FROM supplier""")
 def list_page_rows(spark, sf_dir):
-    """XML list pages; a missing size is 0, a missing etag empty."""
+    """XML list pages; a missing size is 0, a missing etag empty."""
     k = F.col("s_suppkey").cast("string")
     page = F.concat(F.lit("<EnumerationResults><Blobs><Blob><Name>n"), k, F.lit("/a</Name><Properties><Content-Length>"), k, F.lit("0</Content-Length><Etag>e"), F.col("s_nationkey").cast("string"), F.lit("</Etag></Properties></Blob><Blob><Name>n"), k, F.lit("/b</Name><Properties/></Blob></Blobs><NextMarker/></EnumerationResults>"))
     return R.page_rows(t(spark, sf_dir, "supplier").select(page.alias("page")))
@@ -94,7 +94,7 @@ def walk_collisions(spark, sf_dir):
 
 @query("""SELECT o_orderkey AS module, CASE WHEN o_orderstatus = 'P' THEN 'deleted' WHEN o_orderkey % 4 = 0 THEN 'api_supported=false' END AS reason FROM orders WHERE o_orderkey % 10 <> 3""")
 def catalogue_split(spark, sf_dir):
-    """Usable modules and skipped ones with the reason; nameless rows go."""
+    """Usable modules and skipped ones with the reason; nameless rows go."""
     o = t(spark, sf_dir, "orders").withColumn("name", F.when(F.col("o_orderkey") % 10 != 3, F.col("o_orderkey")))
     reason = F.when(F.col("o_orderstatus") == "P", "deleted").when(F.col("o_orderkey") % 4 == 0, "api_supported=false")
     return o.where(F.col("name").isNotNull() & D.listed(F.col("o_orderpriority"), [])).select(F.col("name").alias("module"), reason.alias("reason"))
@@ -110,7 +110,7 @@ def paged_dedup(spark, sf_dir):
 
 @query("""SELECT 'teams' AS relation, count(*) AS n, CAST(0 AS BIGINT) AS refused FROM nation UNION ALL SELECT 'channels', count(*), 0 FROM customer UNION ALL SELECT 'channel_members', count(*) FILTER (o_orderstatus <> 'P'), count(*) FILTER (o_orderstatus = 'P') FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment <> 'BUILDING'""")
 def meta_relations(spark, sf_dir):
-    """Flat relations of a directory; members only of non-standard channels, refusals counted as rows."""
+    """Counts of a directory's relations; members only of non-standard channels, refusals counted as rows."""
     none = F.lit(0).cast("long").alias("refused")
     channels = t(spark, sf_dir, "customer")
     members = t(spark, sf_dir, "orders").join(channels.where("c_mktsegment <> 'BUILDING'"), F.col("o_custkey") == F.col("c_custkey"), "left_semi")
@@ -121,14 +121,14 @@ def meta_relations(spark, sf_dir):
 
 @query("SELECT count(*) AS repos, count(*) FILTER (p_partkey % 2 = 0) AS private, count(*) FILTER (p_partkey % 5 = 0) AS archived, CAST(sum(p_size) * 1024 AS BIGINT) AS bytes, count(*) FILTER (contains(p_type, 'BRASS')) AS lfs FROM part")
 def repository_probe(spark, sf_dir):
-    """A catalogue's counts and size."""
+    """A catalogue's counts and size over all rows."""
     k = F.col("p_partkey")
     return t(spark, sf_dir, "part").agg(F.count("*").alias("repos"), F.count_if(k % 2 == 0).alias("private"), F.count_if(k % 5 == 0).alias("archived"), (F.sum("p_size") * 1024).cast("long").alias("bytes"), F.count_if(F.contains("p_type", F.lit("BRASS"))).alias("lfs"))
 
 
 @query("""WITH m AS (SELECT max(date_trunc('month', o_orderdate)) AS m FROM orders WHERE o_orderstatus = 'F') SELECT CAST(m AS DATE) AS month, o_orderpriority AS kind, count(*) AS n FROM orders, m WHERE date_trunc('month', o_orderdate) = m GROUP BY 1, 2""")
 def latest_pullable_month(spark, sf_dir):
-    """The latest month that has a pullable file, by type."""
+    """The latest month that has a pullable file, however long ago, by type."""
     o = t(spark, sf_dir, "orders").select(F.trunc(F.col("o_orderdate"), "MM").alias("month"), F.col("o_orderpriority").alias("kind"), "o_orderstatus")
     last = o.where("o_orderstatus = 'F'").agg(F.max("month").alias("month"))
     return o.join(F.broadcast(last), "month").groupBy("month", "kind").agg(F.count("*").alias("n"))
@@ -157,7 +157,7 @@ def census_last(spark, sf_dir):
 
 @query("""SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN 'wrap/' ELSE '' END AS root, s_suppkey % 2 = 0 AS is_export, CAST(1 AS BIGINT) AS day_files, CAST(CASE WHEN s_suppkey % 2 = 0 THEN 4 ELSE 3 END AS BIGINT) AS members FROM supplier""")
 def export_archives(spark, sf_dir):
-    """archives' members, their root, whether they hold an export, and its day files."""
+    """archives' members, their root, whether they hold an export, and its day files."""
     import io
     import zipfile
 
@@ -197,14 +197,14 @@ def export_candidates(spark, sf_dir):
 
 @query("""WITH r AS (SELECT user_id, event_id, epoch(date_trunc('hour', ts))::BIGINT AS s FROM events), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY s, event_id) AS k FROM r) SELECT user_id, event_id, k + max(s - k) OVER (PARTITION BY user_id ORDER BY k) AS unique_s FROM k""")
 def unique_run_times(spark, sf_dir):
-    """Append-only run keys, a second later on collision."""
+    """Append-only run keys, a second later on collision."""
     e = t(spark, sf_dir, "events").select("user_id", "event_id", F.unix_timestamp(F.date_trunc("hour", F.col("ts").cast("timestamp"))).alias("s"))
     return O.unique_times(e.withColumn("at", F.struct("s", "event_id")), "user_id", "s", "at").select("user_id", "event_id", "unique_s")
 
 
 @query("SELECT o_orderkey AS blob, CASE WHEN o_orderkey % 5 = 0 THEN 'copied' ELSE o_orderstatus END AS status FROM orders")
 def ledger_patch(spark, sf_dir):
-    """A ledger's statuses updated where the key is there."""
+    """A ledger's statuses updated where the key is there."""
     o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("blob"), F.col("o_orderstatus").alias("status"))
     return R.patched(o, "blob", "status", o.where("blob % 5 = 0").withColumn("status", F.lit("copied")))
 
@@ -226,7 +226,7 @@ def resume_offsets(spark, sf_dir):
 
 @query("SELECT CASE WHEN p_partkey % 4 = 0 THEN 'run-metadata' ELSE 'unit' END AS class, CASE WHEN p_partkey % 4 = 0 THEN 'overwrite' ELSE 'create-only' END AS mode, count(*) AS files FROM part GROUP BY 1, 2")
 def publish_modes(spark, sf_dir):
-    """Units are published create-only, a run's metadata is overwritten."""
+    """How files would be published: units are published create-only, a run's metadata is overwritten."""
     meta = F.startswith("path", F.lit("_meta/"))
     p = t(spark, sf_dir, "part").select(F.concat(F.when(F.col("p_partkey") % 4 == 0, "_meta/").otherwise("files/"), F.col("p_partkey").cast("string")).alias("path"))
     return p.groupBy(F.when(meta, "run-metadata").otherwise("unit").alias("class"), F.when(meta, "overwrite").otherwise("create-only").alias("mode")).agg(F.count("*").alias("files"))
@@ -234,7 +234,7 @@ def publish_modes(spark, sf_dir):
 
 @query("""SELECT c_custkey AS entity, CASE WHEN c_custkey % 7 = 0 THEN 'failed' WHEN n IS NULL THEN 'skipped-unchanged' WHEN open > 0 THEN 'in-flight' ELSE 'sized' END AS outcome FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, count(*) FILTER (o_orderstatus = 'P') AS open FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
 def entity_outcomes(spark, sf_dir):
-    """Each entity's outcome by itself; one entity's failure touches no other."""
+    """Each entity's outcome by itself; one entity's failure touches no other."""
     n = t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("entity")).agg(F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") == "P").alias("open"))
     e = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity")).join(n, "entity", "left")
     return e.select("entity", D.decide("sized", (F.col("entity") % 7 == 0, "failed"), (F.col("n").isNull(), "skipped-unchanged"), (F.col("open") > 0, "in-flight")).alias("outcome"))
@@ -251,7 +251,7 @@ def archived_entities(spark, sf_dir):
 
 @query("""WITH g AS (SELECT l_suppkey AS module, count(DISTINCT l_partkey) AS kept, CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE count(*) - l_suppkey % 3 END AS want FROM lineitem GROUP BY 1) SELECT module, kept, CASE WHEN want IS NULL THEN 'unknown' WHEN kept >= want THEN 'complete' WHEN module % 2 = 0 THEN 'gap-in-the-middle' ELSE 'partial' END AS state FROM g""")
 def walk_completeness(spark, sf_dir):
-    """Ascending and descending walks put together, deduplicated and held against the source's count."""
+    """Walks held against the source's count."""
     g = t(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("module")).agg(F.count_distinct("l_partkey").alias("kept"), F.count("*").alias("n"))
     want = F.when(F.col("module") % 5 != 0, F.col("n") - F.col("module") % 3)
     return g.select("module", "kept", O.complete(F.col("kept"), want, F.col("module") % 2 == 0).alias("state"))
@@ -298,7 +298,7 @@ def field_chunks(spark, sf_dir):
 
 @query("SELECT event_id, event_id % 5 IN (0, 1) AS valid FROM events")
 def detail_shapes(spark, sf_dir):
-    """Which measured details have the right shape, service -> [bytes, files]."""
+    """C11: which measured details have the right shape, service -> [bytes, files]."""
     det = pick(F.col("event_id"), '{"slack":[10,2]}', "{}", '{"slack":[true,2]}', '{"slack":[1]}', "nope")
     return t(spark, sf_dir, "events").select("event_id", D.detail_valid(det).alias("valid"))
 
@@ -341,14 +341,14 @@ def row_predicates(spark, sf_dir):
 
 @query("""SELECT s_nationkey AS collection, count(*) AS sites, min(s_name) AS first_name, max(s_suppkey) AS last_id FROM supplier WHERE s_suppkey % 9 <> 0 GROUP BY 1""")
 def site_collections(spark, sf_dir):
-    """Sites by collection, personal ones left out; counts and ends instead of unbounded lists."""
+    """Sites by collection, personal ones left out; counts and ends instead of unbounded lists."""
     return t(spark, sf_dir, "supplier").where("s_suppkey % 9 <> 0").groupBy(F.col("s_nationkey").alias("collection")).agg(F.count("*").alias("sites"), F.min("s_name").alias("first_name"), F.max("s_suppkey").alias("last_id"))
 
 
 @query("""WITH e AS (SELECT o_orderkey AS k, o_custkey % 20 AS site FROM orders), l AS (SELECT DISTINCT l_orderkey AS k FROM lineitem), x AS (SELECT e.*, l.k IS NULL AND e.k % 3 = 0 AS quarantined, l.k IS NULL AND e.k % 3 <> 0 AS missing FROM e LEFT JOIN l USING (k))
  SELECT site, count(*) AS expected, count(*) FILTER (missing) AS missing, count(*) FILTER (quarantined) AS quarantined, CASE WHEN count(*) FILTER (missing) = 0 THEN 'ok' WHEN count(*) FILTER (missing) * 100 > count(*) THEN 'breach' ELSE 'incomplete' END AS verdict FROM x GROUP BY 1""")
 def site_verdict(spark, sf_dir):
-    """Per-site manifests against a fresh listing; quarantined items aren't missing."""
+    """Per-site manifests against a fresh listing; quarantined items aren't missing."""
     e = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 20).alias("site"))
     l = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.lit(True).alias("there")).distinct()
     absent = F.col("there").isNull()
@@ -358,7 +358,7 @@ def site_verdict(spark, sf_dir):
 
 @query("""SELECT l_orderkey AS id, count(*) FILTER (l_linenumber <> 1) AS media, bool_or(l_linenumber = 1) AS has_metadata FROM lineitem GROUP BY 1""")
 def tails_by_id(spark, sf_dir):
-    """Path tails of each id, metadata apart."""
+    """How many path tails each id has, metadata apart."""
     name = F.concat(F.col("l_orderkey").cast("string"), F.lit("/"), F.when(F.col("l_linenumber") == 1, "metadata.json").otherwise(F.concat(F.col("l_linenumber").cast("string"), F.lit(".mp4"))))
     n = t(spark, sf_dir, "lineitem").select(name.alias("name"))
     meta = P.leaf(F.col("name")) == "metadata.json"
@@ -367,7 +367,7 @@ def tails_by_id(spark, sf_dir):
 
 @query("""SELECT o_orderstatus AS status, count(*) AS n, count(*) FILTER (o_orderkey % 3 <> 0) AS public, CAST(coalesce(sum(CAST(floor(o_totalprice) AS BIGINT)), 0) AS BIGINT) AS snapshot FROM orders GROUP BY 1""")
 def plan_histogram(spark, sf_dir):
-    """what a plan would do, by status."""
+    """what a plan would do, by status."""
     return t(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"), F.count_if(F.col("o_orderkey") % 3 != 0).alias("public"), F.coalesce(F.sum(F.floor("o_totalprice")), F.lit(0)).cast("long").alias("snapshot"))
 
 
@@ -381,7 +381,7 @@ def recent_errors(spark, sf_dir):
 
 @query("""WITH s AS (SELECT source, CAST(sum(n_chars) AS BIGINT) AS actual FROM documents GROUP BY 1), m AS (SELECT max(actual) AS hi, min(actual) AS lo FROM s) SELECT source, actual, hi >= 100 * lo AS log_scale FROM s, m""")
 def chart_rows(spark, sf_dir):
-    """Entries by size, and whether the scale must be logarithmic."""
+    """H9: entries by size, and whether the scale must be logarithmic."""
     s = t(spark, sf_dir, "documents").groupBy("source").agg(F.sum("n_chars").alias("actual"))
     m = s.agg(F.max("actual").alias("hi"), F.min("actual").alias("lo"))
     return s.crossJoin(F.broadcast(m)).select("source", "actual", (F.col("hi") >= 100 * F.col("lo")).alias("log_scale")).orderBy(F.desc("actual"), "source")
@@ -390,7 +390,7 @@ def chart_rows(spark, sf_dir):
 @query("""WITH l AS (SELECT l_orderkey AS k, max(l_linenumber) AS have FROM lineitem GROUP BY 1), w AS (SELECT o_orderkey AS k, o_orderpriority AS folder, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey % 5 END AS size FROM orders)
  SELECT folder, CASE WHEN size IS NULL THEN 'no-file' WHEN have IS NULL THEN 'to-copy' WHEN have < size THEN 'short' ELSE 'skipped-existing' END AS outcome, count(*) AS n, CAST(coalesce(sum(size), 0) AS BIGINT) AS bytes FROM w LEFT JOIN l USING (k) GROUP BY 1, 2""")
 def resume_outcomes(spark, sf_dir):
-    """Work items against the listing: what is copied, skipped, short or has no file."""
+    """I8: work items against the listing: what is copied, skipped, short or has no file."""
     k = F.col("o_orderkey")
     work = t(spark, sf_dir, "orders").select(k.alias("k"), F.col("o_orderpriority").alias("folder"), F.when(k % 13 != 0, k % 5).alias("size"))
     landed = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("size"))
@@ -399,7 +399,7 @@ def resume_outcomes(spark, sf_dir):
 
 @query("""SELECT n_nationkey AS file, 'p' || CAST(i AS VARCHAR) AS page, CAST(CASE WHEN i < 4 THEN 0 ELSE 1 END AS BIGINT) AS batch FROM nation, (SELECT unnest([1, 3, 4]) AS i)""")
 def page_nodes(spark, sf_dir):
-    """Ids of a document's pages, in batches."""
+    """Ids of a document's pages, in batches."""
     node = "array<struct<id:string,type:string>>"
     body = F.lit('{"children":[{"id":"p1","type":"CANVAS"},{"id":"x2","type":"FRAME"},{"id":"p3","type":"CANVAS"},{"id":"p4","type":"CANVAS"}]}')
     d = t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("file"), F.from_json(body, f"children {node}").alias("doc"))
@@ -431,7 +431,7 @@ def breaker_runs(spark, sf_dir):
 @query("""WITH s AS (SELECT o_orderpriority AS prefix, count(*) AS src_n, CAST(sum(o_orderkey % 9) AS BIGINT) AS src_bytes FROM orders GROUP BY 1), d AS (SELECT o_orderpriority AS prefix, count(*) AS dst_n, CAST(sum(o_orderkey % 9) AS BIGINT) AS dst_bytes FROM orders WHERE o_orderpriority <> '1-URGENT' AND NOT (o_orderpriority = '5-LOW' AND o_orderkey % 2 = 0) GROUP BY 1)
  SELECT prefix, src_n, src_bytes, dst_n, dst_bytes, CASE WHEN src_n IS NULL OR dst_n IS NULL THEN 'LIST-ERROR' WHEN src_n = dst_n AND src_bytes = dst_bytes THEN 'ok' ELSE 'MISMATCH' END AS status FROM s LEFT JOIN d USING (prefix)""")
 def job_rollup(spark, sf_dir):
-    """Each job's count and bytes at both ends."""
+    """Each job's count and bytes at both ends."""
     o = t(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("prefix"), (F.col("o_orderkey") % 9).alias("size"), "o_orderkey")
     d = o.where("prefix <> '1-URGENT' and not (prefix = '5-LOW' and o_orderkey % 2 = 0)")
     return O.rolled_up(o.select("prefix").distinct(), o, d, "prefix")
@@ -439,7 +439,7 @@ def job_rollup(spark, sf_dir):
 
 @query("""WITH e AS (SELECT o_orderkey AS k, o_orderpriority AS lib FROM orders), l AS (SELECT * FROM e WHERE k IN (SELECT l_orderkey FROM lineitem)), m AS (SELECT * FROM e WHERE k NOT IN (SELECT l_orderkey FROM lineitem) ORDER BY k LIMIT 20), h AS (SELECT lib, count(*) AS n FROM l GROUP BY 1) SELECT lib, k, CAST(least(coalesce(n, 0), 2) AS BIGINT) AS neighbours FROM m LEFT JOIN h USING (lib)""")
 def missing_samples(spark, sf_dir):
-    """The first missing items with neighbours of their library (a report)."""
+    """The first missing items with how many neighbours their library has (a report)."""
     e = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("lib"))
     l = e.join(t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")).distinct(), "k", "left_semi")
     return O.gate_samples(e, l, "lib", "k")
@@ -447,20 +447,20 @@ def missing_samples(spark, sf_dir):
 
 @query("""WITH s AS (SELECT event_id, [200, 402, 403, 404][event_id % 4 + 1] AS status FROM events) SELECT CASE status WHEN 200 THEN 'open' WHEN 402 THEN 'metered-model-required' WHEN 403 THEN 'protected-api-approval-missing' ELSE 'unexpected' END AS gate, count(*) AS n FROM s GROUP BY 1""")
 def endpoint_gates(spark, sf_dir):
-    """How probed endpoints and links stand."""
+    """How probed endpoints stand."""
     return t(spark, sf_dir, "events").groupBy(D.gate(pick(F.col("event_id"), 200, 402, 403, 404)).alias("gate")).agg(F.count("*").alias("n"))
 
 
 @query("""SELECT CASE WHEN l_linestatus = 'O' THEN 'STANDARD' ELSE 'GLACIER' END AS tier, count(*) AS n, count(*) FILTER (l_linestatus <> 'O') AS cold FROM lineitem GROUP BY 1""")
 def storage_tiers(spark, sf_dir):
-    """Objects by storage class, cold ones counted over all rows."""
+    """Objects by storage class, cold ones counted over all rows."""
     cold = F.col("l_linestatus") != "O"
     return t(spark, sf_dir, "lineitem").groupBy(F.when(cold, "GLACIER").otherwise("STANDARD").alias("tier")).agg(F.count("*").alias("n"), F.count_if(cold).alias("cold"))
 
 
 @query("""SELECT c_custkey AS course, coalesce(n, 0) AS lessons, CASE WHEN n IS NULL THEN 'skipped' ELSE 'ok' END AS status FROM customer LEFT JOIN (SELECT o_custkey, count(*) FILTER (o_orderkey % 4 <> 0) AS n FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderkey % 4 <> 0) > 0) ON o_custkey = c_custkey""")
 def course_lessons(spark, sf_dir):
-    """Courses with the lessons that have a URL; a unit without any is one skipped row."""
+    """Courses with the lessons that have a URL; a unit without any is one skipped row."""
     lessons = t(spark, sf_dir, "orders").withColumn("url", F.when(F.col("o_orderkey") % 4 != 0, "u")).where("url is not null").groupBy(F.col("o_custkey").alias("course")).agg(F.count("*").alias("n"))
     return t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("course")).join(lessons, "course", "left").select("course", F.coalesce("n", F.lit(0)).alias("lessons"), F.when(F.col("n").isNull(), "skipped").otherwise("ok").alias("status"))
 

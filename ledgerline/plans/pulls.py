@@ -5,6 +5,7 @@ Importing this module completes the registry of plans.landed.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import decisions as D
@@ -803,3 +804,56 @@ def inflated_archives(spark, sf_dir):
 
     files = _archives(spark, sf_dir).where(F.substring_index("path", ".", 1).cast("long") % 10 % 5 < 2).where(F.substring_index("path", ".", 1).cast("long") % 10 != 5).where("path like '%.zip'")
     return binary.sized(files, deep=True).select(F.substring_index("path", ".", 1).cast("long").alias("id"), "method", "uncomp")
+
+
+@query("""WITH o AS (SELECT o_custkey AS module, o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS up, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS down FROM orders), g AS (SELECT module, count(*) AS at_source, count(*) FILTER (up <= 6 OR down <= 6) AS kept, count(*) FILTER (up <= 6 AND down <= 6) AS seen_twice FROM o GROUP BY 1) SELECT module, at_source, kept, seen_twice, CASE WHEN kept >= at_source THEN 'complete' ELSE 'gap-in-the-middle' END AS state FROM g""")
+def two_way_walks(spark, sf_dir):
+    """An ascending and a descending walk, each capped at six rows by its source, put together by id and held against the source's count."""
+    o = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("module"), F.col("o_orderkey").alias("id"))
+    six = [F.row_number().over(Window.partitionBy("module").orderBy(x)) <= 6 for x in ("id", F.desc("id"))]
+    walks = [o.withColumn("seen", x).where("seen").drop("seen") for x in six]
+    kept = R.two_way(*walks, "id", "id").groupBy("module").agg(F.count("*").alias("kept"), F.count_if(F.col("ways") == 3).alias("seen_twice"))
+    j = o.groupBy("module").agg(F.count("*").alias("at_source")).join(kept, "module")
+    return j.select("module", "at_source", "kept", "seen_twice", O.complete(F.col("kept"), F.col("at_source"), F.lit(True)).alias("state"))
+
+
+@query("""SELECT CASE WHEN k % 4 = 1 THEN 'parquet-bad-magic' WHEN k % 4 = 3 THEN 'parquet-tiny' ELSE 'parquet-footer' END AS method, count(*) AS files, CASE WHEN k % 4 IN (0, 2) THEN TRUE ELSE FALSE END AS holds_values FROM (SELECT p_partkey AS k FROM part) GROUP BY 1, 3""")
+def parquet_footers(spark, sf_dir):
+    """K5, K6, K7, K8, K9: uncompressed sizes from Parquet footers; broken and tiny files count as stored."""
+    from ..operators import binary
+
+    def make(batches):
+        import io
+
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for df in batches:
+            rows = []
+            for k in df["p_partkey"].tolist():
+                pq.write_table(pa.table({"v": list(range(200))}), held := io.BytesIO(), use_dictionary=False)
+                body = held.getvalue()
+                rows.append((f"{k}.parquet", (body, body[:-1], body, b"PAR1")[k % 4]))
+            yield pd.DataFrame(rows, columns=["path", "content"])
+
+    s = binary.sized(t(spark, sf_dir, "part").select("p_partkey").mapInPandas(make, "path string, content binary"))
+    holds = (F.col("method") == "parquet-footer") & (F.col("uncomp") >= 1600)
+    return s.groupBy("method", holds.alias("holds_values")).agg(F.count("*").alias("files")).select("method", "files", "holds_values")
+
+
+@query("""SELECT DISTINCT 'c' || CAST(n_nationkey % 3 AS VARCHAR) AS conversation, CAST(count(*) OVER (PARTITION BY n_nationkey % 3) AS BIGINT) AS day_files, TRUE AS is_export FROM nation""")
+def tree_export(spark, sf_dir):
+    """An extracted export is read like an archive: its root's signature files and its conversations' day files."""
+    from ..sources import writers as W
+
+    k = F.col("n_nationkey")
+    path = W.scratch(spark, "tree")
+    days = t(spark, sf_dir, "nation").select(F.concat(F.lit("c"), (k % 3).cast("string")).alias("place"), F.concat_ws("", F.lit('{"day":'), k.cast("string"), F.lit("}")).alias("value"))
+    days.repartition(25, "value").write.partitionBy("place").option("maxRecordsPerFile", 1).text(f"{path}/days")
+    for name in ("channels", "users"):
+        spark.range(1).select(F.lit("[]").alias("value")).coalesce(1).write.text(f"{path}/{name}.json")
+    files = R.tree(spark, path).withColumn("rel", F.regexp_extract("path", r"/tree-[0-9a-f]+/(.*)$", 1))
+    root = files.agg((F.bool_or(F.startswith("rel", F.lit("channels.json"))) & F.bool_or(F.startswith("rel", F.lit("users.json")))).alias("is_export"))
+    day = files.where("startswith(rel, 'days/')").select(F.regexp_extract("rel", r"place=([^/]+)/", 1).alias("conversation"))
+    return day.groupBy("conversation").agg(F.count("*").alias("day_files")).join(F.broadcast(root)).select("conversation", "day_files", "is_export")

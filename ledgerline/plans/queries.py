@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import decisions as D
 from ..functions import paths as P
 from ..functions import services as S
-from ..operators import diff, planning, reconcile, sizing, timeseries
+from ..operators import catalogue, diff, planning, reconcile, sizing, timeseries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -88,7 +88,7 @@ _PATHS = "SELECT doc_id, ['export/Slack/day.zip','backup/takeout/Mail/x.mbox','G
 
 @query(f"SELECT doc_id, path, [ 'slack', 'gmail', 'gdrive', 'hubspot', NULL, 'notion', 'gdrive', 'jira' ][doc_id % 8 + 1] AS service FROM ({_PATHS})")
 def path_service_match(spark, sf_dir):
-    """The service of a path, deepest first."""
+    """The service of a path, deepest first."""
     names = ("export/Slack/day.zip", "backup/takeout/Mail/x.mbox", "Google Drive/a/b/c.txt", "crm data/hubspot-2024/contacts.csv", "misc/other/file.bin", "a/b/c/d/notion.zip", "Takeout/Drive/y.zip", "JIRA")
     path = F.element_at(F.array(*map(F.lit, names)), (F.col("doc_id") % 8 + 1).cast("int"))
     return t(spark, sf_dir, "documents").select("doc_id", path.alias("path")).withColumn("service", S.of_path(F.col("path"), S.matcher()))
@@ -96,7 +96,7 @@ def path_service_match(spark, sf_dir):
 
 @query("SELECT CASE doc_id % 8 WHEN 0 THEN 'slack' WHEN 1 THEN 'gmail' WHEN 2 THEN 'gdrive' WHEN 3 THEN 'hubspot' WHEN 5 THEN 'notion' WHEN 6 THEN 'gdrive' ELSE 'jira' END AS service, CAST(sum(n_chars) AS BIGINT) AS bytes, count(*) AS blobs FROM documents WHERE doc_id % 8 <> 4 GROUP BY 1")
 def detected_services(spark, sf_dir):
-    """Bytes credited to detected services."""
+    """R2: bytes credited to detected services."""
     names = ("export/Slack/day.zip", "backup/takeout/Mail/x.mbox", "Google Drive/a/b/c.txt", "crm data/hubspot-2024/contacts.csv", "misc/other/file.bin", "a/b/c/d/notion.zip", "Takeout/Drive/y.zip", "JIRA")
     path = F.element_at(F.array(*map(F.lit, names)), (F.col("doc_id") % 8 + 1).cast("int"))
     rows = t(spark, sf_dir, "documents").select(S.of_path(path, S.matcher()).alias("service"), F.col("n_chars").alias("uncomp"), F.lit(None).cast("map<string,bigint>").alias("entries"))
@@ -105,7 +105,7 @@ def detected_services(spark, sf_dir):
 
 @query("SELECT page_id, CASE WHEN regexp_extract(url, '[?&]ref=([^&#]*)', 1) = '' THEN NULL ELSE regexp_extract(url, '[?&]ref=([^&#]*)', 1) END AS ref, regexp_replace(regexp_replace(regexp_replace(url, '([?&])ref=[^&#]*(&?)', '\\1', 'g'), '\\?&', '?', 'g'), '[?&](#|$)', '\\1', 'g') AS stripped FROM pages".replace("\\\\", "\\"))
 def url_token_strip(spark, sf_dir):
-    """C18, C19, C20."""
+    """A query's value, and the URL without it."""
     u = F.col("url")
     return t(spark, sf_dir, "pages").select("page_id", P.query_value(u, "ref").alias("ref"), P.without_query_value(u, "ref").alias("stripped"))
 
@@ -150,7 +150,7 @@ def outcome_tables(spark, sf_dir):
 
 @query(f"""WITH {_BLOBS} SELECT doc_id, method IN ('zip-exact','xz-exact') OR starts_with(method, 'parquet') AS terminal, method IN ('zip-exact','xz-exact') AS streamed, clen >= 4 AND method = 'gz-trailer' AND clen >= 2000 AS candidate, name LIKE '%.gz' AND clen >= 4 AND method <> 'gz-exact' AND clen >= 2000 AS stale FROM b""")
 def method_predicates(spark, sf_dir):
-    """D2 to D7, with a small threshold for large blobs."""
+    """D2 to D5, with a small threshold for large blobs."""
     b, m, n = blobs(spark, sf_dir), F.col("method"), F.col("clen")
     return b.select("doc_id", D.method_terminal(m).alias("terminal"), D.method_streamed(m).alias("streamed"), (D.gz_stream_candidate(m, n, large=2000, small=10) & (m == "gz-trailer")).alias("candidate"), ((P.blob_kind(F.col("name")) == "gz") & D.gz_row_stale(m, n, F.col("uncomp"), large=2000, small=10)).alias("stale"))
 
@@ -171,7 +171,7 @@ def _received(spark, sf_dir):
  SELECT service, declared, coalesce(actual, 0) AS actual, coalesce(blobs, 0) AS blobs, CASE WHEN declared > 0 THEN coalesce(actual, 0) * 100.0 / declared END AS pct,
  CASE WHEN declared = 0 AND coalesce(actual, 0) > 0 THEN 'zero-declared-has-data' WHEN declared > 0 AND coalesce(actual, 0) = 0 THEN 'declared-empty' WHEN declared > 0 AND actual > declared THEN 'overshoot' ELSE '' END AS flags FROM d LEFT JOIN a USING (service)""")
 def service_reconcile(spark, sf_dir):
-    """Declared services against received sources."""
+    """Declared services against received sources."""
     services = t(spark, sf_dir, "nation").select(F.col("n_name").alias("service"), (F.col("n_nationkey") * 1000000).cast("long").alias("declared"), F.lit(None).cast("long").alias("records"), F.lit(None).cast("array<string>").alias("prefix"), F.lit(None).cast("long").alias("equivalent"))
     found = spark.createDataFrame([], "service string, bytes long")
     rows = reconcile.service_rows(services, _received(spark, sf_dir), found)
@@ -266,18 +266,17 @@ def cascading_match(spark, sf_dir):
     c = t(spark, sf_dir, "customer")
     folder = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("supplier#"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"))).when(F.col("c_custkey") % 3 == 1, F.col("c_nationkey").cast("string")).otherwise("none")
     c = c.select(F.col("c_custkey").alias("id"), folder.alias("folder"))
-    s = t(spark, sf_dir, "supplier").select("s_suppkey", F.lower("s_name").alias("folder"))
-    n = t(spark, sf_dir, "nation").select("n_name", F.col("n_nationkey").cast("string").alias("guid"))
-    j = c.join(s, "folder", "left").join(F.broadcast(n), F.col("s_suppkey").isNull() & (F.col("folder") == F.col("guid")), "left")
-    return j.select("id", "s_suppkey", "n_name", F.when(F.col("s_suppkey").isNotNull(), "slug").when(F.col("n_name").isNotNull(), "guid").otherwise("ambiguous").alias("confidence"))
+    slug = t(spark, sf_dir, "supplier").select(F.lower("s_name").alias("folder"), "s_suppkey")
+    guid = t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("folder"), "n_name")
+    return catalogue.matched(c, "folder", {"slug": slug, "guid": guid}).select("id", "s_suppkey", "n_name", "confidence")
 
 
 @query("""WITH g AS (SELECT o_custkey, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS census FROM orders GROUP BY 1) SELECT c_custkey, census, greatest(census, CAST(c_custkey * 1000 AS BIGINT)) AS order_bytes FROM customer JOIN g ON o_custkey = c_custkey WHERE census >= 1000000 ORDER BY census DESC, c_custkey LIMIT 5""")
 def calibration_topk(spark, sf_dir):
     """The five largest that qualify (a top-k report)."""
     g = t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(F.floor("o_totalprice")).alias("census"))
-    c = t(spark, sf_dir, "customer").join(g, F.col("o_custkey") == F.col("c_custkey")).where("census >= 1000000")
-    return c.orderBy(F.desc("census"), "c_custkey").limit(5).select("c_custkey", "census", F.greatest("census", (F.col("c_custkey") * 1000).cast("long")).alias("order_bytes"))
+    c = t(spark, sf_dir, "customer").join(g, F.col("o_custkey") == F.col("c_custkey"))
+    return catalogue.calibration(c, "census", 1_000_000, 5, "c_custkey").select("c_custkey", "census", F.greatest("census", (F.col("c_custkey") * 1000).cast("long")).alias("order_bytes"))
 
 
 @query("""WITH b AS (SELECT l_orderkey AS unit, count(*) AS landed, bool_or(l_linenumber = 2) AS marker FROM lineitem GROUP BY 1), u AS (SELECT o_orderkey AS unit, CASE o_orderstatus WHEN 'F' THEN 'ok' WHEN 'O' THEN 'skipped-complete' ELSE 'failed' END AS status, o_orderkey % 5 AS staged FROM orders) SELECT unit, status, staged, coalesce(landed, 0) AS landed, CASE WHEN status = 'failed' THEN 'failed' WHEN NOT coalesce(marker, false) THEN 'missing-marker' WHEN staged > 0 AND coalesce(landed, 0) < staged THEN 'short' WHEN staged > 0 AND landed > staged THEN 'stale-extra' ELSE 'ok' END AS result FROM u LEFT JOIN b USING (unit)""")
@@ -424,15 +423,14 @@ def token_view(spark, sf_dir):
 def plan_sites_order(spark, sf_dir):
     """H1, H2: a work order whose limit never drops calibration rows (the limit is the feature)."""
     o = t(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select("o_orderkey", "o_orderpriority", F.floor("o_totalprice").alias("bytes"), (F.col("o_orderkey") % 50 == 0).alias("calibrate"))
-    w = Window.partitionBy("calibrate").orderBy("o_orderpriority", F.desc("bytes"), "o_orderkey")
-    return o.withColumn("rn", F.row_number().over(w).cast("long")).where("calibrate or rn <= 100").select("o_orderkey", "calibrate", "rn")
+    return catalogue.work_order(o, "calibrate", 100, "o_orderpriority", F.desc("bytes"), "o_orderkey").select("o_orderkey", "calibrate", "rn")
 
 
 @query("""SELECT l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END, l_quantity DESC, l_linenumber) AS rn FROM lineitem) WHERE rn = 1""")
 def choose_best(spark, sf_dir):
     """H8: the best candidate by rank, then size, without a window: one aggregation."""
     rank = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
-    return t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min_by("l_linenumber", F.struct(rank, -F.col("l_quantity"), "l_linenumber")).alias("l_linenumber"))
+    return catalogue.best(t(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", rank, -F.col("l_quantity"), "l_linenumber")
 
 
 @query("""WITH s AS (SELECT source, CAST(sum(n_chars) AS BIGINT) AS bytes FROM documents GROUP BY 1), c AS (SELECT source, source || '/' || lang AS child, CAST(sum(n_chars) AS BIGINT) AS bytes FROM documents WHERE lang <> 'en' GROUP BY 1, 2) SELECT source, child, bytes FROM c UNION ALL SELECT s.source, '(other)', s.bytes - coalesce(z.bytes, 0) FROM s LEFT JOIN (SELECT source, CAST(sum(bytes) AS BIGINT) AS bytes FROM c GROUP BY 1) z USING (source)""")
@@ -480,8 +478,7 @@ def thread_completion(spark, sf_dir):
 def ledger_first_sighting(spark, sf_dir):
     """The first sighting owns a file; later ones are shares."""
     f = t(spark, sf_dir, "documents").select(F.md5(F.col("text").cast("binary")).alias("id"), "doc_id", "source")
-    owner = f.groupBy("id").agg(F.min("doc_id").alias("owner"))
-    return f.join(owner, "id").select("id", "doc_id", "source", F.when(F.col("doc_id") == F.col("owner"), "object").otherwise("share").alias("part"))
+    return catalogue.first_sightings(f, "id", "doc_id").select("id", "doc_id", "source", "part")
 
 
 @query("""WITH l AS (SELECT doc_id AS blob, CASE WHEN doc_id % 10 = 0 THEN 0 ELSE n_chars END AS size, ['copied','present','failed'][doc_id % 3 + 1] AS status FROM documents), d AS (SELECT doc_id AS blob, CASE WHEN doc_id % 20 = 0 THEN 0 WHEN doc_id % 17 = 0 THEN n_chars + 1 ELSE n_chars END AS bytes FROM documents WHERE doc_id % 13 <> 0), w AS (SELECT * FROM l WHERE status <> 'failed')
@@ -502,10 +499,10 @@ _TREE = """SELECT 'r' || CAST(r_regionkey AS VARCHAR) AS id, CAST(NULL AS VARCHA
 @query(f"""WITH RECURSIVE e AS ({_TREE}), w AS (SELECT id, name AS path, 0 AS depth FROM e WHERE parent IS NULL UNION ALL SELECT e.id, w.path || '/' || e.name, w.depth + 1 FROM e JOIN w ON e.parent = w.id WHERE w.depth < 20) SELECT id, path, CAST(depth AS BIGINT) AS depth FROM w""")
 def tree_flatten(spark, sf_dir):
     """Folder paths of a tree, to a depth of 20, by a recursive query."""
-    for name in ("region", "nation", "supplier"):
-        t(spark, sf_dir, name).createOrReplaceTempView(f"tree_{name}")
-    e = """SELECT concat('r', r_regionkey) AS id, CAST(NULL AS STRING) AS parent, r_name AS name FROM tree_region UNION ALL SELECT concat('n', n_nationkey), concat('r', n_regionkey), n_name FROM tree_nation UNION ALL SELECT concat('s', s_suppkey), concat('n', s_nationkey), s_name FROM tree_supplier"""
-    return spark.sql(f"WITH RECURSIVE e AS ({e}), w(id, path, depth) AS (SELECT id, name, 0 FROM e WHERE parent IS NULL UNION ALL SELECT e.id, concat(w.path, '/', e.name), w.depth + 1 FROM e JOIN w ON e.parent = w.id WHERE w.depth < 20) SELECT id, path, CAST(depth AS BIGINT) AS depth FROM w")
+    r, n, s = (t(spark, sf_dir, x) for x in ("region", "nation", "supplier"))
+    edges = r.select(F.concat(F.lit("r"), "r_regionkey").alias("id"), F.lit(None).cast("string").alias("parent"), F.col("r_name").alias("name"))
+    edges = edges.union(n.select(F.concat(F.lit("n"), "n_nationkey"), F.concat(F.lit("r"), "n_regionkey"), "n_name")).union(s.select(F.concat(F.lit("s"), "s_suppkey"), F.concat(F.lit("n"), "s_nationkey"), "s_name"))
+    return catalogue.flattened(edges)
 
 
 # ---- F, N: outcomes, verdicts, notes
@@ -517,8 +514,7 @@ def fleet_dashboard(spark, sf_dir):
     o = t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(F.floor("o_totalprice")).alias("p"))
     g = o.join(t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).groupBy("c_nationkey").agg(F.sum("p").alias("received"))
     g = g.withColumn("declared", F.when(F.col("c_nationkey") % 4 != 0, F.lit(50000000).cast("long")))
-    mine = F.sum(F.when(F.col("declared").isNotNull(), F.col("received")))
-    return g.agg(F.count("*").alias("entities"), F.sum(F.coalesce("declared", F.lit(0))).alias("declared"), mine.alias("received"), F.try_divide(mine.cast("double") * 100, F.sum("declared").cast("double")).alias("pct"))
+    return catalogue.fleet_totals(g)
 
 
 @query("""WITH s AS (SELECT c_nationkey, c_mktsegment, count(*) AS actual FROM customer GROUP BY 1, 2), v AS (SELECT c_nationkey, bool_and(actual * 100 >= 98 * 10) AS services_ok, sum(actual) * 100 >= 98 * 55 AS headline_ok FROM s GROUP BY 1) SELECT c_nationkey, CASE WHEN c_nationkey % 6 = 0 THEN 'cannot-verify' WHEN services_ok AND headline_ok THEN 'complete' ELSE 'incomplete' END AS verdict FROM v""")
@@ -531,7 +527,7 @@ def verdict(spark, sf_dir):
 
 @query("""SELECT o_orderpriority AS kind, count(*) FILTER (o_orderstatus = 'P') AS failed, count(*) FILTER (o_orderstatus = 'O') AS skipped, CAST(coalesce(sum(CAST(floor(o_totalprice) AS BIGINT)) FILTER (o_orderstatus <> 'P'), 0) AS BIGINT) AS staged, bool_or(o_orderstatus = 'P') AS any_failed FROM orders GROUP BY 1""")
 def run_manifest_partition(spark, sf_dir):
-    """Outcomes of a run's units by kind."""
+    """Outcomes of a run's units by kind."""
     s, b = F.col("o_orderstatus"), F.floor("o_totalprice")
     return t(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("kind")).agg(F.count_if(s == "P").alias("failed"), F.count_if(s == "O").alias("skipped"), F.coalesce(F.sum(F.when(s != "P", b)), F.lit(0)).alias("staged"), F.bool_or(s == "P").alias("any_failed"))
 
@@ -546,7 +542,7 @@ def attachment_census(spark, sf_dir):
 
 @query("""WITH g AS (SELECT source, CAST(sum(n_chars) AS BIGINT) AS comp, CAST(sum(n_chars) * 101 // 100 AS BIGINT) AS unc FROM documents GROUP BY 1) SELECT source, CASE WHEN unc BETWEEN 0.9 * comp AND 1.02 * comp THEN 'store-mode' ELSE '' END || CASE WHEN comp >= 100000 THEN ';large' ELSE '' END AS notes FROM g""")
 def rule_notes(spark, sf_dir):
-    """Rules as predicates with texts."""
+    """Rules as predicates with texts."""
     g = t(spark, sf_dir, "documents").groupBy("source").agg(F.sum("n_chars").alias("comp")).withColumn("unc", F.floor(F.col("comp") * 101 / 100))
     ratio = F.try_divide("unc", "comp")
     return g.select("source", F.concat(F.when(ratio.between(0.9, 1.02), "store-mode").otherwise(""), F.when(F.col("comp") >= 100000, ";large").otherwise("")).alias("notes"))
@@ -614,7 +610,7 @@ def greedy_budget(spark, sf_dir):
 
 @query()
 def archive_sizes(spark, sf_dir):
-    """Sizes of archives made of the documents, read through."""
+    """Sizes of archives made of the documents, read through."""
     import gzip
     import io
     import zipfile

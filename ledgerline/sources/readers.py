@@ -168,3 +168,16 @@ def token_ledger(entities: DataFrame, files: DataFrame, key: str) -> DataFrame:
     schema = "struct<tokens:array<struct<id:string,expires:string>>>"
     got = files.select(key, F.from_json("body", schema).alias("ledger"))
     return entities.join(got, key, "left").select(key, F.explode_outer("ledger.tokens").alias("token")).select(key, "token.id", "token.expires")
+
+
+def tree(spark: SparkSession, path: str) -> DataFrame:
+    """(path, body) of an extracted export's text files, whole, by Spark's own listing and readers."""
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", "true").text(path)
+    return files.select(F.regexp_replace(F.col("_metadata.file_path"), r"^file:/*", "/").alias("path"), F.col("value").alias("body"))
+
+
+def two_way(ascending: DataFrame, descending: DataFrame, key: str, order: str) -> DataFrame:
+    """Rows of a walk that was capped at both ends, each once; which ways they were seen, in `ways`."""
+    both = ascending.withColumn("way", F.lit(1)).union(descending.withColumn("way", F.lit(2)))
+    cols = [c for c in ascending.columns if c != key]
+    return both.groupBy(key).agg(*(F.min_by(c, order).alias(c) for c in cols), F.sum_distinct("way").alias("ways"))
