@@ -42,6 +42,10 @@ CACHE_WORDS = 600_000
 RANGES, SMALLEST_BAND = 8, 64
 
 
+#: ASCII punctuation but the apostrophe, which belongs to what stands behind it.
+_TAIL = rb"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
+
+
 class WordTokenizer:
     """A tokenizer file that drops white space, applied word by word with remembered words.
 
@@ -65,40 +69,40 @@ class WordTokenizer:
         self.known: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def _learn(self, new: set[bytes]) -> None:
         known = self.known
         if len(known) + len(new) > CACHE_WORDS:
             known.clear()
-        tails = {}
+        tails: dict[bytes, tuple[bytes, bytes]] = {}  # letters and a run of ASCII punctuation behind them are pieces of their own
         plain = []
         for w in new:
-            if w[-1:] in (b".", b",") and w[:-1].isalpha():
-                tails[w] = w[:-1]
-                w = w[:-1]
-            if w not in known:
+            core = w.rstrip(_TAIL)
+            if len(core) != len(w) and core and core.decode().isalpha():
+                tail = w[len(core) :]
+                tails[w] = core, tail
+                plain.append(core)
+                plain.append(tail)
+            else:
                 plain.append(w)
-        plain = list(dict.fromkeys(plain))
-        texts = [w.decode() for w in plain]
+        plain = list(set(plain) - known.keys())
+        texts = b"\n".join(plain).decode().split("\n") if plain else []
         letters = [k for k, t in enumerate(texts) if t.isalpha()]
         for lo in range(0, len(letters), 2000):
             some = letters[lo : lo + 2000]
-            ids = np.array(self.whole.encode(" ".join(texts[k] for k in some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.whole.encode_batch_fast([" ".join(texts[k] for k in some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(some) and len(ids) and ends[-1] == len(ids):
                 starts = np.concatenate([[0], ends[:-1]])
                 body = ids.tobytes()
                 for k, s, e in zip(some, (starts * 4).tolist(), (ends * 4).tolist(), strict=True):
                     known[plain[k]] = body[s:e]
-        for k, t in enumerate(texts):
-            if plain[k] not in known:
-                known[plain[k]] = self._ids(t)
-        for tail in (b".", b","):
-            if tail not in known:
-                known[tail] = self._ids(tail.decode())
-        for w, core in tails.items():
-            known[w] = known[core] + known[w[-1:]]
+        rest = [k for k, w in enumerate(plain) if w not in known]
+        for k, e in zip(rest, self.whole.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False), strict=True):
+            known[plain[k]] = np.array(e.ids, "<u4").tobytes()
+        for w, (core, tail) in tails.items():
+            known[w] = known[core] + known[tail]
 
     def batch(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text; ASCII letters are lowered first, as the tokenizer lowers all."""
