@@ -122,23 +122,26 @@ class Scanner:
             if len(at) < need:
                 continue
             near = np.flatnonzero((at[need - 1 :] - at[: len(at) - need + 1] < span) & (of[need - 1 :] == of[: len(at) - need + 1]))
+            # a notice may begin with common words before its first other word; a window belongs to one place, so each is aligned once
+            low, high = t.first[of[near]], t.first[of[near] + 1]
+            begin, end = np.maximum(low, at[near] - len(words) // 2), np.minimum(at[near] + span, high)
+            last = np.minimum(np.searchsorted(at[near], at[near] + span), np.searchsorted(of[near], of[near], side="right"))
+            known: dict[int, tuple[float, int, int]] = {}
             done = -1
-            for p in near.tolist():
-                d = int(of[p])
-                lo = int(at[p])
+            for i in range(len(near)):
+                lo = int(at[near[i]])
                 if lo <= done:
                     continue
-                # a notice may begin with common words before its first other word
-                ends = near[(near >= p) & (at[near] < lo + span)]
-                low, high = int(t.first[d]), int(t.first[d + 1])
-                tries = {(max(low, int(at[q]) - len(words) // 2), min(int(at[q]) + span, high)) for q in ends.tolist()}
-                best = max((self._aligned(t.plain, a, b, words) for a, b in sorted(tries)), key=lambda x: (x[0], -x[1]))
+                for j in range(i, int(last[i])):
+                    if j not in known:
+                        known[j] = self._aligned(t.plain, int(begin[j]), int(end[j]), words)
+                best = max((known[j] for j in range(i, int(last[i]))), key=lambda x: (x[0], -x[1]))
+                done = lo
                 if best[0] >= self.coverage:
-                    base = int(t.first[d])
-                    out.append((d, self.names[k], best[0], best[1] - base, best[2] - base))
+                    base = int(low[i])
+                    out.append((int(of[near[i]]), self.names[k], best[0], best[1] - base, best[2] - base))
                     done = best[2] - 1
-                else:
-                    done = lo
+                known = {j: v for j, v in known.items() if j > i}
         return sorted(out)
 
     def _aligned(self, plain: np.ndarray, lo: int, hi: int, words: list) -> tuple[float, int, int]:

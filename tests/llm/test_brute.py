@@ -228,6 +228,17 @@ def test_licences_equal_brute_force():
     assert {(r[0], r[1]) for r in s.scan(column)} == want
 
 
+def test_licences_of_short_neighbours_and_long_dense_texts():
+    s = license_scan.Scanner()
+    line = dict(license_scan.TEMPLATES)["MIT-line"]
+    half = line.split()
+    got = s.scan(pa.array([" ".join(half[:2]), " ".join(half[2:]), line, "", line]))
+    assert [(r[0], r[1]) for r in got] == [(2, "MIT-line"), (4, "MIT-line")]
+    words = dict(license_scan.TEMPLATES)["Apache-2.0"].split()
+    dense = " ".join(rng.choice(words, 6000))
+    assert all(r[0] == 0 for r in s.scan(pa.array([dense])))
+
+
 # --- language models -------------------------------------------------------------------------------------------------
 
 
