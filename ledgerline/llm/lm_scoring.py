@@ -33,8 +33,8 @@ from . import ngrams as G
 from .common import crc32_mod, table
 
 ORDER = 3
-#: The k of pairs' and of triples' states.
-CONCENTRATION = (64.0, 4.0)
+#: The k of words' and of pairs' states, near the best of held-out text at scale factor 0.1 (perplexity 4630; 7120 with 64 and 4).
+CONCENTRATION = (1000.0, 16.0)
 #: Distinct n-grams of a block in a byte of text.
 KEYS_PER_BYTE = 0.25
 
