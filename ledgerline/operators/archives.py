@@ -105,9 +105,11 @@ def measured(file: Ranged) -> tuple[int, str, list[tuple[str, int]]]:
 def members(files: DataFrame, reader: Callable[[str, int, int], bytes] = fetch) -> DataFrame:
     """(path, clen, uncomp, method, entry, size): a row an entry, or one without an entry. files: (path, clen), read by ranges, or (path, content)."""
     held = "content" in files.columns
+    columns = ["path", "clen", "uncomp", "method", "entry", "size"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
+            rows: list[tuple] = []
             for row in df.itertuples(index=False):
                 if held:
                     content = row.content
@@ -118,7 +120,12 @@ def members(files: DataFrame, reader: Callable[[str, int, int], bytes] = fetch)
                     size, method, entries = measured(file)
                 except Exception as e:  # a broken file is a row of its own, not the end of the run
                     size, method, entries = file.size, f"err:{type(e).__name__}", []
-                yield pd.DataFrame({"path": row.path, "clen": file.size, "uncomp": size, "method": method, "entry": pd.Series([n for n, _ in entries] or [None], dtype="object"), "size": [s for _, s in entries] or [0]})
+                rows += [(row.path, file.size, size, method, n, s) for n, s in entries or [(None, 0)]]
+                if len(rows) > 100_000:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
 
     return files.mapInPandas(run, "path string, clen long, uncomp long, method string, entry string, size long")
 

@@ -19,8 +19,8 @@ def by(df: DataFrame, *keys: str, comp: str = "clen", unc: str = "uncomp") -> Da
 
 def inventory(blobs: DataFrame) -> DataFrame:
     """All groupings of blobs (name, clen, uncomp, method) in one pass: by top prefix, second level, kind and coverage."""
-    kind = blob_kind(F.col("name"))
-    rows = blobs.select(top(F.col("name")).alias("source"), second_level(F.col("name")).alias("l2"), kind.alias("kind"), coverage_class(kind, F.col("method"), F.col("name")).alias("coverage"), "clen", "uncomp")
+    rows = blobs.withColumn("kind", blob_kind(F.col("name")))  # by itself, as coverage asks for it often
+    rows = rows.select(top(F.col("name")).alias("source"), second_level(F.col("name")).alias("l2"), "kind", coverage_class(F.col("kind"), F.col("method"), F.col("name")).alias("coverage"), "clen", "uncomp")
     sets = rows.groupingSets([["source"], ["l2"], ["kind"], ["coverage"], []], "source", "l2", "kind", "coverage")
     level = F.grouping_id("source", "l2", "kind", "coverage")
     grouped = sets.agg(level.alias("level"), *measures())

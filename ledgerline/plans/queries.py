@@ -173,7 +173,7 @@ def _received(spark, sf_dir):
 def service_reconcile(spark, sf_dir):
     """Declared services against received sources."""
     services = t(spark, sf_dir, "nation").select(F.col("n_name").alias("service"), (F.col("n_nationkey") * 1000000).cast("long").alias("declared"), F.lit(None).cast("long").alias("records"), F.lit(None).cast("array<string>").alias("prefix"), F.lit(None).cast("long").alias("equivalent"))
-    found = spark.createDataFrame([], "service string, bytes long")
+    found = services.where("false").select("service", F.col("declared").alias("bytes"))
     rows = reconcile.service_rows(services, _received(spark, sf_dir), found)
     return rows.select("service", "declared", "actual", "blobs", "pct", F.array_join("flags", ",").alias("flags"))
 
