@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which run()
 writes as Parquet to the shared folder and reads again for the next stage.
+
+Defined cases, for every stage: null text is an empty text; null values of other
+columns pass through; rows with a null doc_id are documents of their own, which
+only their own text can reject; an empty table gives an empty table; further
+columns pass through all stages but the last, whatever their names. Repeated rows
+are judged row by row until near_dedup, which keeps one row of each doc_id.
 """
 
 from __future__ import annotations
@@ -20,27 +26,27 @@ from ledgerline.llm.secret_scan import redacted
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no rule rejects."""
+    """Documents that no rule rejects; empty and very short ones go. The order of rows plays no part."""
     return Cascade().keep(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
+    """One document of each class of near-duplicates: the one with the smallest doc_id; of its rows, the one with the smallest hash."""
     return deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak no benchmark item."""
+    """Documents that leak no benchmark item; items without text are in no document, and without items all documents stay."""
     return cleaned(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their secrets masked; n_chars follows the text."""
+    """Documents with their secrets masked, overlapping ones as one; n_chars follows the text and is null where that is."""
     return redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in packed sequences."""
+    """Pieces of the documents and their places in packed sequences; an empty document is one piece of one id; equal lengths are told apart by rank."""
     return packed(docs)
 
 
