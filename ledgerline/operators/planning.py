@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.writers import saved
+
 #: Calls a minute of the first rate tier by plan, and the share of it that is used.
 PLAN_LIMITS, SAFETY = {"starter": 10, "pro": 15, "org": 20, "enterprise": 20}, 0.9
 
@@ -38,7 +40,7 @@ def chunks(keys: DataFrame, key: str, per_chunk: int, safe: str = "^[0-9A-Za-z._
     """
     kind = F.when(F.rlike(F.col(key), F.lit(safe)), "chunk").otherwise("quarantine")
     n = max(2, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = keys.select(key, kind.alias("kind")).repartitionByRange(n, "kind", key).withColumn("part", F.spark_partition_id())
+    dealt = saved(keys.select(key, kind.alias("kind")).repartitionByRange(n, "kind", key).withColumn("part", F.spark_partition_id()), "dealt")
     sizes = dealt.groupBy("kind", "part").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("kind").orderBy("part")) - F.col("n")).drop("n")
     ranked = dealt.withColumn("at", F.row_number().over(Window.partitionBy("kind", "part").orderBy(key)) - 1).join(before, ["kind", "part"])

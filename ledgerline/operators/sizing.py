@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.decisions import coverage_class
 from ..functions.paths import blob_kind, second_level, top
+from ..sources.writers import saved
 
 
 def measures(comp: str = "clen", unc: str = "uncomp") -> list[Column]:
@@ -66,7 +67,7 @@ def carried_forward(run: DataFrame, skipped: DataFrame, previous: DataFrame) ->
 def admitted(items: DataFrame, limit: int, order: str, size: str) -> DataFrame:
     """Greedy admission under a budget in a fixed, unique order: what doesn't fit is refused, later smaller items may still fit.
 
-    Rounds over range partitions instead of one fold: running sums find the first item that doesn't fit, all before it
+    Rounds over range partitions, dealt once, instead of one fold: running sums find the first item that doesn't fit, all before it
     are taken, and the next round looks behind it for items no larger than what is left. The refused sizes fall from
     round to round, so there are at most as many rounds as distinct sizes, and few in practice. Each round brings two
     numbers to the driver; the result is a filter of the items.
@@ -74,9 +75,10 @@ def admitted(items: DataFrame, limit: int, order: str, size: str) -> DataFrame:
     n = max(2, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     pool = items.select(F.col(order).alias("o"), F.col(size).cast("long").alias("s")).where(F.col("o").isNotNull() & (F.col("s") > 0))
     left, after, taken = limit, None, F.lit(False)
+    ranges = saved(pool.where(F.col("s") <= limit).repartitionByRange(n, "o").withColumn("part", F.spark_partition_id()), "ranges")
     while left > 0:
         behind = F.lit(True) if after is None else F.col("o") > F.lit(after)
-        dealt = pool.where(behind & (F.col("s") <= left)).repartitionByRange(n, "o").withColumn("part", F.spark_partition_id())
+        dealt = ranges.where(behind & (F.col("s") <= left))
         sums = dealt.groupBy("part").agg(F.sum("s").alias("s"))
         before = sums.withColumn("before", F.sum("s").over(Window.orderBy("part")) - F.col("s")).drop("s")
         total = F.sum("s").over(Window.partitionBy("part").orderBy("o")) + F.col("before")

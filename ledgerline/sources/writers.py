@@ -13,11 +13,24 @@ CLASS = "class"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; local mode may have one of its own."""
+    """A new path in the folder that driver and executors share (local mode may have one of its own), deleted when the application ends."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
-    return f"{(folder or tempfile.gettempdir()).rstrip('/')}/ledgerline-published/{name}-{uuid.uuid4().hex}"
+    top = f"{(folder or tempfile.gettempdir()).rstrip('/')}/ledgerline-scratch/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(top)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{top}/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df written and read again: what two branches of a plan must see alike, whatever is recomputed."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
