@@ -72,6 +72,11 @@ def dropped(*tables: DataFrame | None) -> None:
                     path.getFileSystem(conf).delete(path, True)
 
 
+def release() -> None:
+    """Arrow's pool gives back what it holds unused, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+
+
 def over_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """f over Arrow batches of df."""
     arrow_limits(df.sparkSession)
@@ -81,6 +86,7 @@ def over_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | N
             out = f(batch)
             if out is not None and out.num_rows:
                 yield out
+        release()
 
     return df.mapInArrow(run, schema)
 

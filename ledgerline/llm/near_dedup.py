@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import dropped, over_batches, saved, table
+from .common import dropped, over_batches, release, saved, table
 from .components import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -238,8 +238,8 @@ def common(elements: np.ndarray, owner: np.ndarray, n: int, rows: np.ndarray) ->
     size = np.repeat(held, held)
     few = np.flatnonzero((size > 1) & (size <= RARE))
     group = np.repeat(np.arange(len(first)), held)
-    for lo in range(0, len(few), 1 << 18):
-        some = few[lo : lo + (1 << 18)]
+    for lo in range(0, len(few), 1 << 16):
+        some = few[lo : lo + (1 << 16)]
         codes = []
         for step in range(1, RARE):
             a, b = some[some + step < len(e)], some[some + step < len(e)] + step
@@ -251,10 +251,11 @@ def common(elements: np.ndarray, owner: np.ndarray, n: int, rows: np.ndarray) ->
                 mine = row[p] >= 0
                 codes.append(row[p[mine]] * n + q[mine])
         if codes:
-            out += np.bincount(np.concatenate(codes), minlength=out.size).reshape(out.shape)
+            at, n_ = np.unique(np.concatenate(codes), return_counts=True)
+            out.reshape(-1)[at] += n_
     many = np.flatnonzero(held > RARE)
-    for lo in range(0, len(many), 2048):
-        some = many[lo : lo + 2048]
+    for lo in range(0, len(many), 1024):
+        some = many[lo : lo + 1024]
         at = np.concatenate([np.arange(first[g], first[g] + held[g]) for g in some])
         has = np.zeros((n, len(some)), np.float32)
         has[owner[at], np.repeat(np.arange(len(some)), held[some])] = 1
@@ -271,14 +272,25 @@ def linked_classes(members: pa.Table, similarity: float) -> tuple[np.ndarray, np
     parts = [np.frombuffer(x, U) for x in members.column("bag").to_pylist()]
     weight = np.array([len(x) for x in parts])
     rows = np.flatnonzero(cls != np.bincount(cls).argmax())
-    both = common(np.concatenate(parts), np.repeat(np.arange(len(parts)), weight), len(parts), rows)
-    near = both >= (similarity - 1e-12) * (weight[rows][:, None] + weight[None, :] - both)
-    near &= cls[rows][:, None] != cls[None, :]
-    if side.min() != side.max():  # each side's own pairs are another cell's
-        near &= side[rows][:, None] != side[None, :]
-    i, j = np.nonzero(near)
+    elements = np.concatenate(parts)
+    del parts
+    both = common(elements, np.repeat(np.arange(len(weight)), weight), len(weight), rows)
+    del elements
+    two = side.min() != side.max()
+    found_pairs = []
+    for lo in range(0, len(rows), 128):  # some rows at a time, for the tables of a whole cell are large
+        some = rows[lo : lo + 128]
+        part = both[lo : lo + 128]
+        near = part >= (similarity - 1e-12) * (weight[some][:, None] + weight[None, :] - part)
+        near &= cls[some][:, None] != cls[None, :]
+        if two:  # each side's own pairs are another cell's
+            near &= side[some][:, None] != side[None, :]
+        x, y = np.nonzero(near)
+        p, q = cls[some[x]], cls[y]
+        found_pairs.append(np.unique(np.minimum(p, q) * len(found) + np.maximum(p, q)))
+    codes = np.unique(np.concatenate(found_pairs))
+    p, q = np.divmod(codes, len(found))
     root = np.arange(len(found))
-    p, q = cls[rows[i]], cls[j]
     while True:
         low = np.minimum(root[p], root[q])
         new = root.copy()
@@ -312,6 +324,7 @@ def _searched(of: DataFrame, docs: DataFrame, key: str, text: str, similarity: f
 
     def search(members: pa.Table) -> pa.Table:
         a, b = linked_classes(members, similarity)
+        release()
         return pa.table({"a": pa.array(a), "b": pa.array(b)}).cast(pa.schema([("a", members.schema.field("class").type), ("b", members.schema.field("class").type)]))
 
     return cells.groupBy(*group, "x", "y").applyInArrow(search, f"a {kind}, b {kind}")
