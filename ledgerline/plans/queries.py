@@ -605,10 +605,10 @@ def greedy_budget(spark, sf_dir):
     return sizing.admitted(t(spark, sf_dir, "documents").select("doc_id", "n_chars"), 20000, "doc_id", "n_chars").select("doc_id")
 
 
-# ---- K, O: archives and folds, which SQL can't express
+# ---- K, O: archives and folds
 
 
-@query()
+@query("""SELECT 'd' || CAST(doc_id AS VARCHAR) || CASE WHEN doc_id % 2 = 1 THEN '.gz' ELSE '.zip' END AS path, CAST(strlen(text) AS BIGINT) AS uncomp, CASE WHEN doc_id % 2 = 1 THEN 'gz' ELSE 'zip' END AS kind, CASE WHEN doc_id % 2 = 1 THEN 'gz-exact' ELSE 'zip-exact' END AS method FROM documents""")
 def archive_sizes(spark, sf_dir):
     """Sizes of archives made of the documents, read through."""
     import gzip
@@ -633,7 +633,7 @@ def archive_sizes(spark, sf_dir):
             yield pd.DataFrame(rows, columns=["path", "content"])
 
     files = t(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(make, "path string, content binary")
-    return binary.sized(files, deep=True)
+    return binary.sized(files, deep=True).drop("clen")
 
 
 @query()
