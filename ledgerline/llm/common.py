@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +62,18 @@ def saved(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def cleaned_up(spark: SparkSession) -> Iterator[None]:
+    """Queries that run within delete their shuffle files as they end, not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def dropped(*tables: DataFrame | None) -> None:
     """Deletes the files behind tables that saved() returned and nothing reads again."""
     for df in tables:

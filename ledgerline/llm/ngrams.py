@@ -15,7 +15,7 @@ million shares its hash with another.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -173,29 +173,23 @@ def summed(orders: int) -> tuple[Callable[[DataFrame], DataFrame], Values]:
     return lambda asked: asked.groupBy("shard").applyInArrow(total, REPLY), spec
 
 
-def looked_up(entries: DataFrame, layout: Layout, columns: Sequence[str]) -> tuple[Callable[[DataFrame], DataFrame], Values]:
-    """Shards that reply with float columns of a table of entries (n, key, columns...), n being the order's index; 0 where it has no entry."""
-    spec: Values = [(n, np.float32) for n in range(len(layout.widths)) for _ in columns]
-    shift = F.lit(64 - layout.bits)
-    for n, width in enumerate(layout.widths):
-        shift = F.when(F.col("n") == n, F.lit(width - layout.bits)).otherwise(shift)
-    shard = F.expr("shiftrightunsigned(key, by)").cast("long") if layout.bits else F.lit(0).cast("long")
-    entries = entries.withColumn("by", shift.cast("int")).withColumn("shard", shard).select("shard", "n", "key", *columns)
+def looked_up(entries: DataFrame, fields: dict[int, tuple[int, int]]) -> tuple[Callable[[DataFrame], DataFrame], Values]:
+    """Shards that reply with whole numbers of a table of entries (shard, field, keys, columns), whose keys and columns are packed, the
+    keys' steps being sorted; 0 where it has no entry. fields: by a field's first reply, its order's index and how many columns it has."""
+    spec: Values = [(n, np.int64) for n, k in fields.values() for _ in range(k)]
+    orders = 1 + max(n for n, _ in fields.values())
 
     def look(t: pa.Table, known: pa.Table) -> pa.Table:
         if not t.num_rows:  # nobody asks this shard
             return pa.table({"block": pa.array([], pa.int64()), "shard": pa.array([], pa.int64()), "totals": pa.array([], pa.list_(pa.binary()))})
-        merged = _merged(t, len(layout.widths))
-        order, keys, values = known.column("n").to_numpy(), known.column("key").to_numpy().view(U), []
-        for n, (asked, *_) in enumerate(merged):
-            mine = np.flatnonzero(order == n)
-            mine = mine[np.argsort(keys[mine])]
-            at = np.minimum(np.searchsorted(keys[mine], asked), max(len(mine) - 1, 0))
-            hit = keys[mine][at] == asked if len(mine) else np.zeros(len(asked), bool)
-            for c in columns:
-                v = np.zeros(len(asked), np.float32)
-                v[hit] = known.column(c).to_numpy()[mine][at[hit]]
-                values.append(v)
+        merged = _merged(t, orders)
+        values = [np.zeros(len(merged[n][0]), kind) for n, kind in spec]
+        for field, blob, columns in zip(*(known.column(c).to_pylist() for c in ("field", "keys", "columns")), strict=True):
+            asked, keys = merged[fields[field][0]][0], np.cumsum(unpack(blob, U), dtype=U)
+            at = np.minimum(np.searchsorted(asked, keys), max(len(asked) - 1, 0))
+            hit = np.flatnonzero(asked[at] == keys) if len(asked) else np.zeros(0, np.int64)
+            for k, c in enumerate(columns):
+                values[field + k][at[hit]] = unpack(c, np.int64)[hit]
         return _replies(t, values, spec, merged)
 
     return lambda asked: asked.groupBy("shard").cogroup(entries.groupBy("shard")).applyInArrow(look, REPLY), spec

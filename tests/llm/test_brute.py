@@ -307,6 +307,34 @@ def test_thresholds_are_quantiles(spark):
                 assert r["threshold"] == want and r["kept"] == (r["perplexity"] <= want)
 
 
+def test_all_trusted_texts_train(spark, monkeypatch):
+    monkeypatch.setattr(quality_model, "ROUND_BYTES", 1 << 10), monkeypatch.setattr(quality_model, "SENT_TOKENS", 5000), monkeypatch.setattr(ngrams, "SHARD_KEYS", 4000)
+    texts = {k: prose(5) for k in range(4600)} | {4600: None, 4601: f"{prose(3000)} zzz"}
+    docs = spark.createDataFrame([(k, t, "en") for k, t in texts.items()], "doc_id long, text string, lang string").repartition(3)
+    keys = docs.select("doc_id")
+    train = [r["doc_id"] for r in keys.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).collect()]
+    assert len(train) > 2200
+    p = brute_kneser_ney([texts[k] for k in train])
+    rows = quality_model.judged(docs, keys).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        w = [b"\0start"] * 2 + tokens(texts[r["doc_id"]])
+        want = sum(math.log10(p(w[i], tuple(w[i - 2 : i]))) for i in range(2, len(w)))
+        assert abs(r["log10_prob"] - want) < 1e-9 * len(w), r["doc_id"]
+    known = sorted(r["perplexity"] for r in rows if r["doc_id"] not in set(train))
+    assert {r["threshold"] for r in rows} == {known[math.ceil(quality_model.QUANTILE * len(known)) - 1]}
+
+
+@pytest.mark.parametrize("accuracy", [20, 10_000])
+def test_quantiles_are_exact(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(quality_model, "ACCURACY", accuracy)
+    values = {"a": rng.normal(size=30_000), None: rng.integers(0, 40, 20_000) / 7, "b": np.array([3.0]), "c": rng.normal(size=100)}
+    df = spark.createDataFrame([(k, float(x)) for k, v in values.items() for x in v], "__of string, __value double")
+    for q in (0.99, 0.5):
+        got = {r["__of"]: r["__own"] for r in quality_model.quantiles(df, q).collect()}
+        assert got == {k: np.sort(v)[math.ceil(q * len(v)) - 1] for k, v in values.items()}
+
+
 @pytest.mark.parametrize("fan_bits", [1, 2])
 def test_many_levels_of_cells_give_the_same_scores(spark, documents, monkeypatch, fan_bits):
     rows = [(k, t) for k, t in sorted(documents.items())[:80]]
